@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gritstone.llm import langid, linededup, mixing, packing, simhash
+from gritstone.llm import langid, linededup, mixing, packing, simhash, spotsigs, tokencount, vptree
 from gritstone.llm._store import documents
 
 
@@ -19,6 +19,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir))
 
 
+def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return vptree.nearest(vptree.build(vectors, k=5), vectors.where("vec_id % 50 = 0"), k=5, relax=1.05)
+
+
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_neighbours(documents(spark, sf_dir))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), words=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -30,6 +39,10 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.withColumn("held_out", langid.held_out()), model, ["doc_id", "held_out"])
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(documents(spark, sf_dir))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.dedup_lines(documents(spark, sf_dir))
     return found.select("doc_id", "text", "n_chars", "removed_lines")
