@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gritstone.llm import langid, linededup, mixing, packing, simhash, spotsigs, tokencount, vptree
+from gritstone.llm import langid, linededup, mixing, packing, pii, simhash, spotsigs, tokencount, toxicity, vptree
 from gritstone.llm._store import documents
 
 
@@ -15,10 +15,24 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", langid.held_out())
+    scorer = toxicity.train(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs, scorer, ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(documents(spark, sf_dir))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    spans = pii.spans_text(F.sort_array(F.concat("base", "added"))).alias("spans")
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"), spans, F.size("added").cast("long").alias("n_added"))
+
+
 def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return vptree.nearest(vptree.build(vectors, k=5), vectors.where("vec_id % 50 = 0"), k=5, relax=1.05)
