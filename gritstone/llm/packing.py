@@ -203,8 +203,8 @@ def pack(cut: DataFrame, size: int = 1024, salts: int = 256) -> DataFrame:
     starts = parts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = salted.withColumn("in_part", F.row_number().over(within) - 1)
-    # One row for each length and salt: size * salts rows at most.
-    ranked = ranked.join(F.broadcast(starts), ["length", "salt"]).withColumn("rank", F.col("before") + F.col("in_part"))
+    # Both sides are dealt by length and salt already, so this join moves the counts only.
+    ranked = ranked.join(starts, ["length", "salt"]).withColumn("rank", F.col("before") + F.col("in_part"))
     # A few rows for each length, whatever the data's size.
     found = ranked.join(F.broadcast(places), (F.col("length") == F.col("n")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("rank") - F.col("lo")).alias("sequence_id"), "offset")
