@@ -53,43 +53,31 @@ def water_fill(weights: list[float], caps: list[float], total: float) -> list[fl
 def sainte_lague(votes: list[float], seats: int, caps: list[int] | None = None) -> list[int]:
     """Seats by the highest quotients votes / (2 k + 1), none above its cap; ties go to the earlier one.
 
-    Starts at the rounded shares, which are within a few seats of the result, so it takes steps by the number of parties, not seats.
+    A search for the last quotient that gets a seat gives all seats but a few, so the steps grow with the parties, not the seats.
     """
-    n = len(votes)
-    caps = caps or [seats] * n
+    caps = caps or [seats] * len(votes)
     seats = min(seats, sum(c for c, v in zip(caps, votes) if v > 0))
-    out = [0] * n
-    fixed: set[int] = set()
-    while True:  # parties at their caps leave the division
-        rest, left = [i for i in range(n) if votes[i] > 0 and i not in fixed], seats - sum(out[i] for i in fixed)
-        whole = sum(votes[i] for i in rest)
-        for i in rest:
-            out[i] = math.floor(left * votes[i] / whole + 0.5)
-        above = [i for i in rest if out[i] >= caps[i]]
-        if not above or len(above) == len(rest):
-            for i in above:
-                out[i] = caps[i]
+    if not seats:
+        return [0] * len(votes)
+
+    def above(q: float) -> list[int]:
+        """Seats whose quotients are above q."""
+        return [min(c, max(0, math.ceil((v / q - 1) / 2))) if v > 0 else 0 for v, c in zip(votes, caps)]
+
+    low, high = 0.0, max(votes)
+    for _ in range(200):
+        mid = (low + high) / 2
+        if mid in (low, high):
             break
-        for i in above:
-            out[i] = caps[i]
-        fixed |= set(above)
-    more = seats - sum(out)
-    if more > 0:
-        heap = [(-votes[i] / (2 * out[i] + 1), i) for i in range(n) if votes[i] > 0 and out[i] < caps[i]]
-        heapq.heapify(heap)
-        for _ in range(more):
-            _, i = heapq.heappop(heap)
-            out[i] += 1
-            if out[i] < caps[i]:
-                heapq.heappush(heap, (-votes[i] / (2 * out[i] + 1), i))
-    elif more < 0:
-        heap = [(votes[i] / (2 * out[i] - 1), -i) for i in range(n) if out[i]]
-        heapq.heapify(heap)
-        for _ in range(-more):
-            _, i = heapq.heappop(heap)
-            out[-i] -= 1
-            if out[-i]:
-                heapq.heappush(heap, (votes[-i] / (2 * out[-i] - 1), i))
+        low, high = (mid, high) if sum(above(mid)) > seats else (low, mid)
+    out = above(high)
+    heap = [(-v / (2 * n + 1), i) for i, (v, c, n) in enumerate(zip(votes, caps, out)) if v > 0 and n < c]
+    heapq.heapify(heap)
+    for _ in range(seats - sum(out)):
+        _, i = heapq.heappop(heap)
+        out[i] += 1
+        if out[i] < caps[i]:
+            heapq.heappush(heap, (-votes[i] / (2 * out[i] + 1), i))
     return out
 
 
