@@ -1,7 +1,8 @@
 """Language identification by prediction by partial matching (PPM).
 
 Each language's model is a tree of byte contexts of up to three bytes. A byte that has followed the context is coded at n / (total +
-distinct), others escape at distinct / (total + distinct) to the context without its first byte, and at last to 256 equal codes. The
+distinct), others escape at distinct / (total + distinct) to the context without its first byte, where the bytes seen before
+are excluded, and at last to 256 equal codes. The
 statistics are frozen after training, so the exact code length of every byte in every context is a constant: all languages' lengths are
 laid out in one table, by context state and byte, and a text's code length is a sum of looked-up rows. Texts are lower-cased.
 
@@ -85,7 +86,8 @@ class Ppm:
         """Probabilities after contexts from counts there and the probabilities after the shorter contexts."""
         total, distinct = n.sum(axis=1, keepdims=True), (n > 0).sum(axis=1, keepdims=True)
         whole = np.maximum(total + distinct, 1)
-        own = np.where(n > 0, n / whole, distinct / whole * shorter)
+        rest = 1 - np.where(n > 0, shorter, 0).sum(axis=1, keepdims=True)  # what the shorter context leaves to bytes not seen here
+        own = np.where(n > 0, n / whole, distinct / whole * shorter / np.maximum(rest, 1e-9))
         return np.where(total > 0, own, shorter)
 
     def lengths(self, texts: list[str]) -> np.ndarray:
@@ -175,16 +177,16 @@ def train(df: DataFrame, per_language: int = 500, max_languages: int = 256, seed
     return Ppm({g: (own["gram"].to_numpy(np.int64), own["n"].to_numpy(np.int64)) for g, own in table.groupby("lang")}) if len(table) else None
 
 
-def identify(df: DataFrame, model: Ppm | None, passing: list[str], text: str = "text") -> DataFrame:
-    """The columns ``passing`` with ``lang_pred`` and ``score``."""
+def identify(df: DataFrame, model: Ppm | None, passing: list[str], text: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns ``passing`` with the language and its score, named by ``out``."""
     spark = df.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("__ok")
     rows = df.select(*passing, letters) if text in passing else df.select(*passing, letters, F.col(text).alias("__text"))
     at = passing.index(text) if text in passing else len(passing) + 1
-    names = [*passing, "lang_pred", "score"]
-    schema = df.select(*passing, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    names = [*passing, *out]
+    schema = df.select(*passing, F.lit("").alias(out[0]), F.lit(0.0).alias(out[1])).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ppm = shared.value

@@ -28,7 +28,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(documents(spark, sf_dir))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
     spans = pii.spans_text(F.sort_array(F.concat("base", "added"))).alias("spans")
     return found.select("doc_id", *counts, F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"), spans, F.size("added").cast("long").alias("n_added"))
 

@@ -57,19 +57,19 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(df: DataFrame, words: int = 4, text: str = "text", keep_columns: list[str] | None = None) -> DataFrame:
-    """The kept columns and ``fp``, the fingerprint as a signed long."""
+def with_fingerprints(df: DataFrame, words: int = 4, text: str = "text", keep_columns: list[str] | None = None, out: str = "fp") -> DataFrame:
+    """The kept columns and ``out``, the fingerprint as a signed long."""
     ship(df.sparkSession)
     kept = ["doc_id"] if keep_columns is None else keep_columns
     rows = df.select(*kept) if text in kept else df.select(*kept, F.col(text).alias("__text"))
     at = kept.index(text) if text in kept else len(kept)
-    schema = df.select(*kept).withColumn("fp", F.lit(0).cast("long")).schema
+    schema = df.select(*kept).withColumn(out, F.lit(0).cast("long")).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(at)
             fps = np.fromiter((fingerprint(t.as_py(), words) for t in texts), np.uint64, len(texts)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), pa.array(fps)], names=[*kept, "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), pa.array(fps)], names=[*kept, out])
 
     return rows.mapInArrow(score, schema)
 
@@ -217,11 +217,11 @@ def one_of_each(df: DataFrame, words: int = 5, distance: int = 4) -> DataFrame:
     """
     cols = df.columns
     order = F.struct(F.col("doc_id").isNull(), "doc_id", -F.coalesce(F.length("text"), F.lit(-1)), F.xxhash64(*cols))
-    marked = keep(with_fingerprints(df.withColumn("__order", order), words, keep_columns=[*cols, "__order"]))
-    firsts = keep(marked.groupBy("fp").agg(F.min("__order").alias("first")))
+    marked = keep(with_fingerprints(df.withColumn("__order", order), words, keep_columns=[*cols, "__order"], out="__own"))
+    firsts = keep(marked.groupBy(F.col("__own").alias("fp")).agg(F.min("__order").alias("first")))
     roots = components(links(firsts.select("fp"), distance))
     of = keep(firsts.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = of.groupBy("root").agg(F.min("first").alias("stays"))
     stay = keep(of.join(least, "root").where("first = stays").select(F.col("root").alias("__root"), F.col("first").alias("__stays"), F.col("fp").alias("__fp")))
-    kept = marked.join(stay, (F.col("fp") == F.col("__fp")) & F.col("__order").eqNullSafe(F.col("__stays")))
+    kept = marked.join(stay, (F.col("__own") == F.col("__fp")) & F.col("__order").eqNullSafe(F.col("__stays")))
     return kept.dropDuplicates(["__root"]).select(*cols)
