@@ -2,10 +2,10 @@
 
 A polynomial rolling hash over the hashes of two lines decides, from these lines alone, whether a chunk ends after the second one; long
 lines are chunks of their own. Several such chunkings with other seeds run side by side, so that a passage of a few lines holds a whole
-chunk of one of them wherever it stands. Chunks that occur again anywhere (by two 64-bit hashes, then by comparing their bytes) are
+chunk of one of them wherever it stands. Chunks that occur again anywhere are
 matched with their first occurrence, the one in the document of the smallest id, and the match grows line by line, before and after,
-as far as the lines are equal. Matched runs of at least ``least_words`` words, and two lines unless one line alone is that long, are
-removed from all documents but the first.
+as far as the lines' hashes are equal. The bytes are compared then: all lines of one hash in any match must be the same line, else the
+runs with that hash stay. Runs of at least ``least_words`` words are removed from all documents but the first.
 
 Rows with the same doc_id and text are one document here: they keep the same lines. Null texts stay null; empty ones stay empty. Null
 ids come before others. An empty table gives an empty result. Columns other than doc_id and text pass through unchanged.
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gritstone.llm._store import drop, keep
+from gritstone.llm._store import keep
 from gritstone.session import ship
 
 _BASE = 0x9E3779B97F4A7C15
@@ -53,113 +53,107 @@ def _words(lines: list[bytes]) -> int:
     return sum(len(x.split()) for x in lines)
 
 
-def chunk_rows(df: DataFrame, seeds: int = 3, least_anchor: int = 4) -> DataFrame:
-    """doc_id, thash, seed, first line, line after the last and two hashes of each chunk of ``least_anchor`` words at least."""
+def outlines(df: DataFrame, seeds: int = 3, least_anchor: int = 4) -> DataFrame:
+    """doc_id, thash, the hashes of a text's lines, and its chunks of ``least_anchor`` words at least: (lo, hi, hash)."""
     ship(df.sparkSession)
     rows = df.where("text is not null and text <> ''").select("doc_id", F.xxhash64("text").alias("thash"), "text")
-    names = ["doc_id", "thash", "lo", "hi", "h1", "h2"]
+    names = ["doc_id", "thash", "lines", "chunks"]
+    chunk = pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("h", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
+        signed = lambda x: x - (1 << 64) if x >> 63 else x
         for batch in batches:
-            which, lo, hi, h1, h2 = [], [], [], [], []
-            for row, text in enumerate(batch.column(2)):
+            hashes, own = [], []
+            for text in batch.column(2):
                 lines = _lines(text.as_py())
                 counts = [len(x.split()) for x in lines]
-                for a, b in sorted({c for seed in range(seeds) for c in chunks(lines, seed)}):
-                    if sum(counts[a:b]) >= least_anchor:
-                        body = b"\n".join(lines[a:b])
-                        which.append(row)
-                        lo.append(a)
-                        hi.append(b)
-                        h1.append(digest(body, 101))
-                        h2.append(digest(body, 202))
-            take = pa.array(which, pa.int64())
-            longs = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in (h1, h2))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), *longs], names=names)
-
-    schema = rows.select("doc_id", "thash", *(F.lit(0).cast(t).alias(c) for c, t in zip(names[2:], ("int", "int", "long", "long")))).schema
-    return rows.mapInArrow(cut, schema)
-
-
-def _same_before(a: list[bytes], b: list[bytes]) -> int:
-    n = 0
-    while n < len(a) and n < len(b) and a[-1 - n] == b[-1 - n]:
-        n += 1
-    return n
-
-
-def _same_after(a: list[bytes], b: list[bytes]) -> int:
-    n = 0
-    while n < len(a) and n < len(b) and a[n] == b[n]:
-        n += 1
-    return n
-
-
-def repeats(df: DataFrame, seeds: int = 3, least_words: int = 25, around: int = 32) -> DataFrame:
-    """doc_id, thash and ``runs``, the line ranges that repeat lines of an earlier document; only documents that have some.
-
-    ``around`` lines before and after a chunk are compared; a run that goes on beyond them holds further chunks, which are matched
-    in their own right.
-    """
-    spark = df.sparkSession
-    ship(spark)
-    rows = keep(chunk_rows(df, seeds).distinct())
-    first = F.min(F.struct("doc_id", "thash", "lo", "hi"))
-    again = rows.groupBy("h1", "h2").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = keep(rows.join(again, ["h1", "h2"]))
-    # Texts of the matched chunks with the lines around them, made where the document is.
-    of = members.select("doc_id", "thash", "lo", "hi", "h1", "h2", F.struct("doc_id", "thash", "lo", "hi").eqNullSafe(F.col("first")).alias("is_first"))
-    lists = of.groupBy("doc_id", "thash").agg(F.collect_list(F.struct("lo", "hi", "h1", "h2", "is_first")).alias("own"))
-    texts = df.where("text is not null and text <> ''").select("doc_id", F.xxhash64("text").alias("thash"), "text")
-    texts = texts.join(lists.select(F.col("doc_id").alias("d"), F.col("thash").alias("t"), "own"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("thash") == F.col("t"))).drop("d", "t")
-
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                hashes.append([signed(digest(x, 101)) for x in lines])
+                found = sorted({c for seed in range(seeds) for c in chunks(lines, seed)})
+                own.append([{"lo": a, "hi": b, "h": signed(digest(b"\n".join(lines[a:b]), 202))} for a, b in found if sum(counts[a:b]) >= least_anchor])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64())), pa.array(own, pa.list_(chunk))], names=names)
+
+    id_type = df.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(cut, f"doc_id {id_type}, thash long, lines array<long>, chunks array<struct<lo:int,hi:int,h:long>>").dropDuplicates(["doc_id", "thash"])
+
+
+def _grown(own: list[int], first: list[int], lo: int, hi: int, first_lo: int) -> tuple[int, int, int] | None:
+    """The run around equal chunks: its lines, and where it begins in the first document; None if the chunks differ."""
+    first_hi = first_lo + hi - lo
+    if own[lo:hi] != first[first_lo:first_hi]:
+        return None
+    while lo and first_lo and own[lo - 1] == first[first_lo - 1]:
+        lo, first_lo = lo - 1, first_lo - 1
+    while hi < len(own) and first_hi < len(first) and own[hi] == first[first_hi]:
+        hi, first_hi = hi + 1, first_hi + 1
+    return lo, hi, first_lo
+
+
+def repeats(df: DataFrame, seeds: int = 3) -> DataFrame:
+    """doc_id, thash, lo, hi and is_first: line ranges that repeat lines of an earlier document, and (is_first) those that are repeated."""
+    ship(df.sparkSession)
+    own = keep(outlines(df, seeds))
+    rows = own.select("doc_id", "thash", F.explode("chunks").alias("c")).select("doc_id", "thash", "c.lo", "c.hi", "c.h")
+    first = F.min(F.struct("doc_id", "thash", "lo", "hi")).alias("first")
+    again = rows.groupBy("h").agg(first, F.count("*").alias("n")).where("n > 1").drop("n")
+    members = rows.join(again, "h").where(~F.struct("doc_id", "thash", "lo", "hi").eqNullSafe(F.col("first")))
+    pairs = members.groupBy("doc_id", "thash", F.col("first.doc_id").alias("f_id"), F.col("first.thash").alias("f_thash"))
+    pairs = pairs.agg(F.collect_set(F.struct("lo", "hi", F.col("first.lo").alias("f_lo"))).alias("chunks"))  # chunks of one document at most
+    lines = own.select(F.col("doc_id").alias("d"), F.col("thash").alias("t"), "lines")
+    same = lambda a, b: F.col(a).eqNullSafe(F.col("d")) & (F.col(b) == F.col("t"))
+    both = pairs.join(lines, same("doc_id", "thash")).drop("d", "t").join(lines.withColumnRenamed("lines", "f_lines"), same("f_id", "f_thash")).drop("d", "t")
+    names = ["doc_id", "thash", "lo", "hi", "is_first"]
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            which, own = [], {k: [] for k in ("lo", "hi", "h1", "h2", "is_first", "before", "body", "after")}
-            for row, (text, list_) in enumerate(zip(batch.column(2), batch.column(3))):
-                lines = _lines(text.as_py())
-                for c in list_.as_py():
-                    which.append(row)
-                    for k in ("lo", "hi", "h1", "h2", "is_first"):
-                        own[k].append(c[k])
-                    own["before"].append(b"\n".join(lines[max(0, c["lo"] - around) : c["lo"]]))
-                    own["body"].append(b"\n".join(lines[c["lo"] : c["hi"]]))
-                    own["after"].append(b"\n".join(lines[c["hi"] : c["hi"] + around]))
+            which: list[int] = []
+            los, his, firsts = [], [], []
+            for row, (list_, a, b) in enumerate(zip(batch.column(4), batch.column(5), batch.column(6))):
+                mine, theirs = a.as_py(), b.as_py()
+                found = {_grown(mine, theirs, c["lo"], c["hi"], c["f_lo"]) for c in list_.as_py()} - {None}
+                for lo, hi, f_lo in found:  # type: ignore[misc]
+                    which += [row, row + batch.num_rows]
+                    los += [lo, f_lo]
+                    his += [hi, f_lo + hi - lo]
+                    firsts += [False, True]
             at = pa.array(which, pa.int64())
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array(v, t) for v, t in zip(own.values(), kinds))], names=["doc_id", "thash", *own])
+            ids = pa.concat_arrays([batch.column(0), batch.column(2)]).take(at)
+            hashes = pa.concat_arrays([batch.column(1), batch.column(3)]).take(at)
+            yield pa.RecordBatch.from_arrays([ids, hashes, pa.array(los, pa.int32()), pa.array(his, pa.int32()), pa.array(firsts, pa.bool_())], names=names)
 
     id_type = df.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {id_type}, thash long, lo int, hi int, h1 long, h2 long, is_first boolean, before binary, body binary, after binary"
-    bodies = keep(texts.mapInArrow(take, shape))
-    firsts = bodies.where("is_first").dropDuplicates(["h1", "h2"]).select("h1", "h2", *(F.col(c).alias(f"f_{c}") for c in ("before", "body", "after")))
-    both = bodies.where("not is_first").join(firsts, ["h1", "h2"]).select("doc_id", "thash", "lo", "hi", "before", "body", "after", "f_before", "f_body", "f_after")
+    both = both.select("doc_id", "thash", "f_id", "f_thash", "chunks", "lines", "f_lines")
+    return both.mapInArrow(grow, f"doc_id {id_type}, thash long, lo int, hi int, is_first boolean").distinct()
+
+
+_RUN = "struct<lo:int,hi:int,is_first:boolean>"
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _bad_lines(rows: DataFrame, id_type: str) -> DataFrame:
+    """Hashes that lines of different bytes in the runs share, by comparing the smallest and the largest line of each hash."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
         for batch in batches:
-            which, lo, hi = [], [], []
-            texts = [batch.column(i) for i in range(2, 10)]
-            for row in range(batch.num_rows):
-                a, b, before, body, after, f_before, f_body, f_after = (x[row].as_py() for x in texts)
-                if body != f_body:
-                    continue
-                up = _same_before(before.split(b"\n") if a else [], f_before.split(b"\n") if f_before else [])
-                down = _same_after(after.split(b"\n") if after else [], f_after.split(b"\n") if f_after else [])
-                which.append(row)
-                lo.append(a - up)
-                hi.append(b + down)
-            at = pa.array(which, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], names=["doc_id", "thash", "lo", "hi"])
+            own: set[bytes] = set()
+            for text, runs in zip(batch.column(0), batch.column(1)):
+                lines = _lines(text.as_py())
+                for r in runs.as_py():
+                    own.update(lines[r["lo"] : r["hi"]])
+            found = sorted(own)
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([digest(x, 101) for x in found], np.uint64).view(np.int64)), pa.array(found, pa.binary())], names=["h", "line"])
 
-    found = both.mapInArrow(compare, f"doc_id {id_type}, thash long, lo int, hi int").distinct()
-    runs = found.groupBy("doc_id", "thash").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
-    return keep(runs)
+    lines = rows.where("__runs is not null").select("text", "__runs").mapInArrow(spread, "h long, line binary")
+    return lines.groupBy("h").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("h")
 
 
-def without(text: str, runs: list[tuple[int, int]], least_words: int) -> tuple[str, int]:
+def without(text: str, runs: list[tuple[int, int]], least_words: int, bad: set[int] = frozenset()) -> tuple[str, int]:  # type: ignore[assignment]
     """The text without the runs that are large enough once overlapping ones are joined, and how many lines that removes."""
     lines = text.split("\n")
+    if bad:
+        digest = xxhash.xxh64_intdigest
+        own = [digest(x, 101) for x in _lines(text)]
+        runs = [(lo, hi) for lo, hi in runs if not bad & set(own[lo:hi])]
     joined: list[list[int]] = []
     for lo, hi in sorted(runs):
         if joined and lo <= joined[-1][1]:
@@ -168,18 +162,27 @@ def without(text: str, runs: list[tuple[int, int]], least_words: int) -> tuple[s
             joined.append([lo, hi])
     gone: set[int] = set()
     for lo, hi in joined:
-        words = sum(len(x.split()) for x in lines[lo:hi])
-        if words >= least_words:
+        if sum(len(x.split()) for x in lines[lo:hi]) >= least_words:
             gone.update(range(lo, hi))
     return "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone)
 
 
-def dedup_lines(df: DataFrame, seeds: int = 3, least_words: int = 25) -> DataFrame:
-    """``df`` with repeated runs of lines cut out of ``text``, and ``removed_lines``. ``n_chars``, if there, follows the new text."""
+def dedup_lines(df: DataFrame, seeds: int = 3, least_words: int = 25, count: str = "removed_lines") -> DataFrame:
+    """``df`` with repeated runs of lines cut out of ``text``, and their number of lines. ``n_chars``, if there, follows the new text."""
     ship(df.sparkSession)
     cols = df.columns
-    runs = repeats(df, seeds, least_words).select(F.col("doc_id").alias("__d"), F.col("thash").alias("__t"), F.col("runs").alias("__runs"))
+    id_type = df.schema["doc_id"].dataType.simpleString()
+    runs = repeats(df, seeds).groupBy("doc_id", "thash").agg(F.collect_list(F.struct("lo", "hi", "is_first")).alias("__runs"))
+    runs = runs.select(F.col("doc_id").alias("__d"), F.col("thash").alias("__t"), "__runs")
     rows = df.join(runs, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t")), "left").select(*cols, "__runs")
+    rows = keep(rows)
+    bad = keep(_bad_lines(rows, id_type))
+    if bad.isEmpty():
+        rows = rows.withColumn("__bad", F.lit(None).cast("array<long>"))
+    else:  # only the colliding hashes of a document's own lines go with it
+        own = rows.where("__runs is not null").select(F.xxhash64(*cols).alias("__k"), F.explode(F.transform(F.split("text", "\n"), lambda x: x)).alias("line"))
+        shared = own.distinct().mapInArrow(_hash_lines, "k long, h long").join(bad, "h").groupBy("k").agg(F.collect_set("h").alias("__bad"))
+        rows = rows.withColumn("__k", F.xxhash64(*cols)).join(shared.withColumnRenamed("k", "__k"), "__k", "left").select(*cols, "__runs", "__bad")
     text_at, chars_at = cols.index("text"), cols.index("n_chars") if "n_chars" in cols else -1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,14 +190,21 @@ def dedup_lines(df: DataFrame, seeds: int = 3, least_words: int = 25) -> DataFra
             columns = [batch.column(i) for i in range(len(cols))]
             texts, chars = columns[text_at].to_pylist(), columns[chars_at].to_pylist() if chars_at >= 0 else []
             removed = [0] * len(texts)
-            for i, own in enumerate(batch.column(len(cols))):
+            for i, (own, bad_) in enumerate(zip(batch.column(len(cols)), batch.column(len(cols) + 1))):
                 if own.is_valid and texts[i]:
-                    texts[i], removed[i] = without(texts[i], [(r["lo"], r["hi"]) for r in own.as_py()], least_words)
+                    spans = [(r["lo"], r["hi"]) for r in own.as_py() if not r["is_first"]]
+                    texts[i], removed[i] = without(texts[i], spans, least_words, {x & _MASK for x in bad_.as_py()} if bad_.is_valid else frozenset())
                     if chars_at >= 0 and removed[i]:
                         chars[i] = len(texts[i])
             columns[text_at] = pa.array(texts, pa.string())
             if chars_at >= 0:
                 columns[chars_at] = pa.array(chars, columns[chars_at].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], names=[*cols, "removed_lines"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], names=[*cols, count])
+
+    return rows.mapInArrow(cut, df.withColumn(count, F.lit(0).cast("long")).schema)
+
 
-    return rows.mapInArrow(cut, df.withColumn("removed_lines", F.lit(0).cast("long")).schema)
+def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes = [xxhash.xxh64_intdigest(x.as_py().encode("utf-8", "surrogatepass"), 101) for x in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(hashes, np.uint64).view(np.int64))], names=["k", "h"])
