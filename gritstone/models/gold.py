@@ -98,7 +98,10 @@ def features_whoscored(backbone: DataFrame, style: DataFrame, stats: DataFrame,
 
 
 def draw_behaviour(events: DataFrame, quals: DataFrame, index: DataFrame) -> DataFrame:
-    """A row for each side of each match: late equalisers, goals conceded within ten minutes of a yellow card, and offence after a red one."""
+    """A row for each side of each match: late equalisers, goals conceded within ten minutes of a yellow card, and offence after a red one.
+
+    A late equaliser is a goal from minute 70 on that makes the running score level; the score is a running count, not one of joined pairs.
+    """
     team = ["match_id", "team_id"]
     goals = events.where(is_goal()).groupBy(*team, F.col("expanded_minute").alias("m")).agg(F.count("*").alias("c"))
     mine = F.sum("c").over(Window.partitionBy(*team).orderBy("m"))

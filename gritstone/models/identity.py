@@ -42,7 +42,8 @@ def odds(source: DataFrame, mapping: DataFrame, registry: DataFrame) -> DataFram
     own = with_teams(source, mapping, "home_team", "away_team").drop("home_team", "away_team")
     reg = registry.select("match_id", F.col("match_date").alias("date"), "league_source", "season", F.col("home_team_id").alias("team_id"), F.col("away_team_id").alias("opponent_id"))
     found = own.join(reg, ["date", "league_source", "season", "team_id", "opponent_id"], "left")
-    return found.unionByName(found.withColumnsRenamed({"team_id": "opponent_id", "opponent_id": "team_id"}))
+    swap = {"team_id": "opponent_id", "opponent_id": "team_id"}
+    return found.unionByName(found.select(*(F.col(swap.get(c, c)).alias(c) for c in found.columns)))
 
 
 def expected_goals_schedule(source: DataFrame, mapping: DataFrame, registry: DataFrame) -> DataFrame:
