@@ -85,12 +85,16 @@ def entropy_norm(t: Tables) -> DataFrame:
     return a.shares(t.lineitem, ["l_suppkey"], ["l_partkey"], "p").groupBy("l_suppkey").agg(F.round(a.entropy(F.col("p")), 6).alias("entropy"))
 
 
-_EDGES = "(select year(l_shipdate) as yr, l_suppkey as src, l_partkey % 100 as dst, count(*) as weight from lineitem where l_suppkey <= 60 and l_suppkey <> l_partkey % 100 group by all)"
+_EDGES = """(select year(l_shipdate) as yr, s_nationkey as src, c_nationkey as dst, count(*) as weight from lineitem join supplier on l_suppkey = s_suppkey
+join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey where s_nationkey <> c_nationkey group by all)"""
 
 
 def _edges(t: Tables) -> DataFrame:
-    e = t.lineitem.select(F.year("l_shipdate").cast("long").alias("yr"), F.col("l_suppkey").alias("src"), (F.col("l_partkey") % 100).alias("dst"))
-    return e.where("src <= 60 and src <> dst").groupBy("yr", "src", "dst").agg(F.count("*").alias("weight"))
+    """Lines from suppliers' to customers' nations, a graph for each year."""
+    e = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    e = e.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    e = e.select(F.year("l_shipdate").cast("long").alias("yr"), F.col("s_nationkey").alias("src"), F.col("c_nationkey").alias("dst"))
+    return e.where("src <> dst").groupBy("yr", "src", "dst").agg(F.count("*").alias("weight"))
 
 
 @query(
@@ -322,5 +326,5 @@ def argmax_columns(t: Tables) -> DataFrame:
 
 @query("F4 T13")
 def betweenness(t: Tables) -> DataFrame:
-    """Exact weighted betweenness of each year's graph of suppliers and part classes."""
-    return graph.betweenness(_edges(t).where("src <= 30 and dst <= 30"), ["yr"], "src", "dst", "weight")
+    """Exact weighted betweenness of each year's graph of nations."""
+    return graph.betweenness(_edges(t), ["yr"], "src", "dst", "weight")

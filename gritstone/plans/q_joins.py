@@ -43,9 +43,6 @@ def role_or_join(t: Tables) -> DataFrame:
     return out.select("c_custkey", "s_suppkey", "n_name", F.when(more, "customer").otherwise("supplier").alias("richer"))
 
 
-_TEAM = "(select o_custkey as team, year(o_orderdate) as match, round(sum(o_totalprice), 2) as goals from orders where o_custkey <= 400 group by all)"
-
-
 @query(
     "J5 J30",
     """with h as (select o_custkey, o_orderstatus as s, count(*) as n, round(sum(o_totalprice), 2) as total from orders group by all)
@@ -194,10 +191,10 @@ def anti_null(t: Tables) -> DataFrame:
     return j.anti(t.nation, other, ["n_nationkey"]).select("n_nationkey")
 
 
-@query("J24 J28 I1", "select event_id from events where ts > (select max(ts) from events where event_type = 'signup' and user_id < 10)")
+@query("J24 J28 I1", "select event_id from events where ts > (select max(ts) from events where event_type = 'signup')")
 def scalar_watermark(t: Tables) -> DataFrame:
     """The mark is one row, so the cross join adds a column."""
-    mark = t.events.where("event_type = 'signup' and user_id < 10").agg(F.max("ts").alias("mark"))
+    mark = t.events.where("event_type = 'signup'").agg(F.max("ts").alias("mark"))
     return t.events.join(F.broadcast(mark), F.col("ts") > F.col("mark")).select("event_id")
 
 
@@ -231,12 +228,12 @@ def prediction_join(t: Tables) -> DataFrame:
 
 @query(
     "J32 J34",
-    """with d as (select p_brand, min(p_name) as canon from part where p_size > 25 group by 1), e as (select lower(p_brand) as slug, min(p_type) as kind from part where p_size <= 25 and p_partkey % 3 = 0 group by 1)
+    """with d as (select p_brand, min(p_name) as canon from part where p_size > 25 group by 1), e as (select lower(p_brand) as slug, min(p_type) as kind from part where p_size <= 25 and p_retailprice > 1000 group by 1)
     select p_partkey, coalesce(d.canon, e.kind, 'Minor') as name from part left join d on part.p_name = d.canon left join e on lower(part.p_brand) = e.slug and p_size < 30""",
 )
 def slug_lookup(t: Tables) -> DataFrame:
     d = t.part.where("p_size > 25").groupBy("p_brand").agg(F.min("p_name").alias("canon")).select("canon")
-    e = t.part.where("p_size <= 25 and p_partkey % 3 = 0").groupBy(F.lower("p_brand").alias("slug")).agg(F.min("p_type").alias("kind"))
+    e = t.part.where("p_size <= 25 and p_retailprice > 1000").groupBy(F.lower("p_brand").alias("slug")).agg(F.min("p_type").alias("kind"))
     p = t.part.join(d, F.col("p_name") == F.col("canon"), "left").join(e, (F.lower("p_brand") == F.col("slug")) & (F.col("p_size") < 30), "left")
     return j.best_lookup(p, [F.col("canon"), F.col("kind")], F.lit("Minor"), "name").select("p_partkey", "name")
 
@@ -296,10 +293,10 @@ def union_distinct(t: Tables) -> DataFrame:
     return t.customer.select(F.col("c_nationkey").alias("k")).union(t.supplier.select("s_nationkey")).distinct()
 
 
-@query("U3", "select e.vec_id, i as place, round(embedding[i + 1]::double, 6) as value from embeddings e, range(0, 20) r(i)")
+@query("U3", "select e.vec_id, i as place, round(embedding[i + 1]::double, 6) as value from embeddings e, range(0, 64) r(i)")
 def unroll_positions(t: Tables) -> DataFrame:
     """One explode instead of a union of as many selections."""
-    return t.embeddings.select("vec_id", F.posexplode(F.slice("embedding", 1, 20)).alias("place", "v")).select("vec_id", F.col("place").cast("long").alias("place"), F.round(F.col("v").cast("double"), 6).alias("value"))
+    return t.embeddings.select("vec_id", F.posexplode("embedding").alias("place", "v")).select("vec_id", F.col("place").cast("long").alias("place"), F.round(F.col("v").cast("double"), 6).alias("value"))
 
 
 @query("U4 S1", "select c_custkey as k, c_name as name, c_mktsegment as segment, null::double as balance from customer union all by name select s_suppkey as k, s_name as name, s_acctbal as balance from supplier")
