@@ -43,15 +43,22 @@ def index(t: Tables) -> DataFrame:
     )
 
 
+_STAGES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def stages(t: Tables) -> dict[str, DataFrame]:
     """The event models' inputs and first results. What several models read is kept, as each node of the dataflow is a table of its own."""
-    e = events(t).cache()
-    q = ev.qualifiers(e).cache()
-    i = index(t)
-    rich = ev.enriched(e, q, i).cache()
-    values = ev.values(rich).cache()
-    chains = ev.possession_chains(rich, q).cache()
-    return {"events": e, "quals": q, "index": i, "enriched": rich, "values": values, "chains": chains, "passes": ev.passes(chains).cache()}
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _STAGES:
+        e = events(t)
+        q = ev.qualifiers(e)
+        rich = ev.enriched(e, q, index(t))
+        chains = ev.possession_chains(rich, q)
+        _STAGES[key] = {"events": e, "quals": q, "index": index(t), "enriched": rich, "values": ev.values(rich), "chains": chains, "passes": ev.passes(chains)}
+    for name, df in _STAGES[key].items():
+        if name != "index" and not (df.storageLevel.useMemory or df.storageLevel.useDisk):
+            df.cache()
+    return _STAGES[key]
 
 
 def backbone(t: Tables) -> DataFrame:

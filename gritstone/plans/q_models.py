@@ -159,14 +159,14 @@ def model_features_rolling(t: Tables) -> DataFrame:
 def model_rolling_corners(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     b = _event_backbone(s)
-    return _rounded(setpieces.rolling_corners(b, s["chains"], setpieces.corner_profiles(s["chains"], s["values"], s["quals"])))
+    return _rounded(setpieces.rolling_corners(b, s["chains"], setpieces.corner_profiles(s["chains"], s["values"], s["quals"]).cache()))
 
 
 @query("rolling_freekicks J35 W5")
 def model_rolling_freekicks(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     b = _event_backbone(s)
-    return _rounded(setpieces.rolling_freekicks(b, s["chains"], setpieces.freekick_profiles(s["chains"], s["values"], s["quals"])))
+    return _rounded(setpieces.rolling_freekicks(b, s["chains"], setpieces.freekick_profiles(s["chains"], s["values"], s["quals"]).cache()))
 
 
 def _event_backbone(s: dict[str, DataFrame]) -> DataFrame:
