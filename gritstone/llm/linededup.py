@@ -95,7 +95,8 @@ def repeats(df: DataFrame, seeds: int = 3) -> DataFrame:
     own = keep(outlines(df, seeds))
     rows = own.select("doc_id", "thash", F.explode("chunks").alias("c")).select("doc_id", "thash", "c.lo", "c.hi", "c.h")
     first = F.min(F.struct("doc_id", "thash", "lo", "hi")).alias("first")
-    again = rows.groupBy("h").agg(first, F.count("*").alias("n")).where("n > 1").drop("n")
+    # A written table, so that Spark can split the rows of a hot chunk when it joins them.
+    again = keep(rows.groupBy("h").agg(first, F.count("*").alias("n")).where("n > 1").drop("n"))
     members = rows.join(again, "h").where(~F.struct("doc_id", "thash", "lo", "hi").eqNullSafe(F.col("first")))
     pairs = members.groupBy("doc_id", "thash", F.col("first.doc_id").alias("f_id"), F.col("first.thash").alias("f_thash"))
     pairs = pairs.agg(F.collect_set(F.struct("lo", "hi", F.col("first.lo").alias("f_lo"))).alias("chunks"))  # chunks of one document at most
