@@ -104,7 +104,8 @@ def explode_pages(pages: DataFrame, key: str, html: str, kind: str = "attribute"
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found = [(k, i, r) for k, h in zip(pdf[key], pdf[html]) for i, r in enumerate(parse(h, **settings))]
-            yield pd.DataFrame({key: [x[0] for x in found], "row": [x[1] for x in found], "cells": [x[2] for x in found]})
+            if found:  # an empty column has no type that could become a map
+                yield pd.DataFrame({key: [x[0] for x in found], "row": [x[1] for x in found], "cells": [x[2] for x in found]})
 
     return pages.select(key, html).mapInPandas(run, f"{key} {dict(pages.dtypes)[key]}, row int, cells map<string,string>")
 
