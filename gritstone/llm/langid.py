@@ -145,6 +145,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def smallest_hashes(df: DataFrame, key: str, most: int, seed: int, salts: int = 64) -> DataFrame:
+    """The ``most`` rows of each key whose ids have the smallest hashes: first of each salted part of a key, then of those."""
+    own = df.withColumn("__h", F.xxhash64("doc_id", F.lit(seed))).withColumn("__s", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(salts)))
+    for part in ([key, "__s"], [key]):
+        own = own.withColumn("__n", F.row_number().over(Window.partitionBy(*part).orderBy("__h", "doc_id"))).where(F.col("__n") <= most)
+    return own.drop("__h", "__s", "__n")
+
+
 def train(df: DataFrame, per_language: int = 500, max_languages: int = 256, seed: int = 11) -> Ppm | None:
     """A model of the languages named in ``df`` (doc_id, text, lang), which should hold training rows only.
 
@@ -153,9 +161,8 @@ def train(df: DataFrame, per_language: int = 500, max_languages: int = 256, seed
     """
     spark = df.sparkSession
     ship(spark)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
-    ids = df.where("lang is not null and text is not null").select("doc_id", "lang").withColumn("n", F.row_number().over(order))
-    ids = ids.where(F.col("n") <= per_language).select("doc_id", "lang").limit(per_language * max_languages + 1).collect()
+    ids = smallest_hashes(df.where("lang is not null and text is not null").select("doc_id", "lang"), "lang", per_language, seed)
+    ids = ids.select("doc_id", "lang").limit(per_language * max_languages + 1).collect()
     if len({r["lang"] for r in ids}) > max_languages:
         raise ValueError(f"over {max_languages} languages: raise max_languages, which bounds the model's table")
     if not ids:

@@ -21,9 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gritstone.llm.langid import smallest_hashes
 from gritstone.session import ship
 
 LENGTH = 48
@@ -352,9 +353,8 @@ def fit(texts: list[str], labels: np.ndarray, passes: int = 6, rate: float = 0.0
 def train(df: DataFrame, labels: DataFrame, per_class: int = 1200, seed: int = 13, **settings) -> Scorer | None:
     """A scorer from the documents of ``df`` (training rows only) with labels; at most ``per_class`` of either class reach the driver."""
     named = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
     ids = df.where("text is not null").select("doc_id").distinct().join(named, "doc_id")
-    chosen = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_class).select("doc_id", "toxic").collect()
+    chosen = smallest_hashes(ids, "toxic", per_class, seed).select("doc_id", "toxic").collect()
     if not chosen:
         return None
     table = df.sparkSession.createDataFrame(chosen, ids.select("doc_id", "toxic").schema)  # 2 * per_class rows at most
