@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gritstone.operators.windows import after, first_per
+from gritstone.session import ship
 
 
 def asof_latest(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, right_at: str, values: Sequence[str], strict: bool = True, tie: str | None = None) -> DataFrame:
@@ -109,20 +111,79 @@ def token_sort(c: Column) -> Column:
     return F.array_join(F.array_sort(F.split(F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " ")), " ")), " ")
 
 
+def most_edits(n: int, least: float) -> int:
+    """Inserted and deleted letters that strings of ``n`` letters together may differ by at a ratio of ``least``.
+
+    Their number is even if ``n`` is.
+    """
+    most = int(n * (1 - least / 100) + 1e-9)
+    return most - (most - n) % 2
+
+
+def common_letters(a: str, b: str) -> int:
+    """Length of the longest common subsequence, a bit for each letter of ``a``."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    left = full
+    for c in b:
+        both = left & places.get(c, 0)
+        left = ((left + both) | (left - both)) & full
+    return len(a) - left.bit_count()
+
+
 def fuzzy_best(names: DataFrame, dimension: DataFrame, name: str, entry: str, least: float = 90.0) -> DataFrame:
     """Each distinct name with its most similar dimension entry of at least ``least`` (of 100).
 
-    Similarity is 100 (1 - distance / longer length) of sorted words by Levenshtein. Only pairs that share a word prefix of three
-    letters or have equal sorted words are compared: names at 90 or more that share none differ in every word's start. Ties go to the
-    first entry.
+    Similarity is the token-sort ratio: 200 common letters in order / both lengths, of sorted words; rounded to a whole number (half to
+    even) it must be ``least`` or more, as in the library of the source. Complete: an entry is cut into
+    one segment more than the letters that may differ, so one is whole in the name, shifted by those letters at most; pairs that
+    share such a segment are scored. Ties go to the first entry.
     """
-    def keyed(df: DataFrame, c: str, out: str) -> DataFrame:
+    if not 0.5 < least <= 100:
+        raise ValueError("least must be over 0.5 and at most 100")
+    ship(names.sparkSession)
+    low = least - 0.5
+
+    def cuts(own: int, other: int) -> list[tuple[int, int]]:
+        n = most_edits(own + other, low) + 1
+        return [(i * own // n, (i + 1) * own // n) for i in range(n)]
+
+    def partners(n: int) -> range:
+        ratio = low / (200 - low)
+        return range(int(n * ratio), int(n / ratio) + 2)
+
+    def keys(s: str, is_entry: bool) -> set[str]:
+        out = set()
+        for n in partners(len(s)):
+            most = most_edits(len(s) + n, low)
+            if abs(len(s) - n) > most:
+                continue
+            la, lb = (n, len(s)) if is_entry else (len(s), n)
+            for i, (x, y) in enumerate(cuts(lb, la)):
+                starts = [x] if is_entry else range(max(0, x - most), min(la - (y - x), x + most) + 1)
+                out.update(f"{la} {lb} {i} {s[k : k + y - x]}" for k in starts)
+        return out
+
+    def keyed(df: DataFrame, c: str, out: str, is_entry: bool) -> DataFrame:
         own = df.select(F.col(c).alias(out)).where(F.col(out).isNotNull()).distinct().withColumn(f"{out}_s", token_sort(F.col(out)))
-        prefixes = F.transform(F.split(f"{out}_s", " "), lambda x: F.substring(x, 1, 3))
-        return own.withColumn("__k", F.explode(F.array_distinct(prefixes)))
-
-    pairs = keyed(names, name, "a").join(keyed(dimension, entry, "b"), "__k").select("a", "b", "a_s", "b_s").distinct()
-    longer = F.greatest(F.length("a_s"), F.length("b_s"))
-    score = F.round(100.0 * (1 - F.levenshtein("a_s", "b_s") / F.greatest(longer, F.lit(1))), 4)
-    scored = pairs.withColumn("score", score).where(F.col("score") >= least)
-    return first_per(scored, ["a"], [F.desc("score"), "b"]).select(F.col("a").alias(name), F.col("b").alias(entry), "score")
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for x, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    k = list(keys(s, is_entry))
+                    yield pa.RecordBatch.from_arrays([pa.array(k, pa.string()), pa.array([x] * len(k), pa.string()), pa.array([s] * len(k), pa.string())], names=["__k", out, f"{out}_s"])
+
+        return own.mapInArrow(deal, f"__k string, {out} string, {out}_s string")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            found = [200.0 * common_letters(x, y) / (len(x) + len(y)) if x or y else 100.0 for x, y in zip(a, b)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["a", "b", "score"])
+
+    pairs = keyed(names, name, "a", False).join(keyed(dimension, entry, "b", True), "__k").select("a", "b", "a_s", "b_s").distinct()
+    scored = pairs.mapInArrow(score, "a string, b string, score double").where(F.bround("score") >= least)
+    best = first_per(scored, ["a"], [F.desc("score"), "b"])
+    return best.select(F.col("a").alias(name), F.col("b").alias(entry), F.round("score", 4).alias("score"))

@@ -240,8 +240,10 @@ def slug_lookup(t: Tables) -> DataFrame:
 
 @query("J33")
 def fuzzy_best(t: Tables) -> DataFrame:
-    """Part names with two words swapped and a letter dropped, matched with the nation and part names."""
-    noisy = t.part.select(F.concat_ws(" ", F.reverse(F.split("p_name", " "))).alias("noisy"))
+    """Part names with their words reversed and a letter dropped, matched with the part names."""
+    at = F.pmod(F.col("p_partkey"), F.length("p_name")).cast("int")
+    edited = F.concat(F.substring("p_name", F.lit(1), at), F.expr("substring(p_name, int(pmod(p_partkey, length(p_name))) + 2)"))
+    noisy = t.part.select(F.concat_ws(" ", F.reverse(F.split(edited, " "))).alias("noisy"))
     return j.fuzzy_best(noisy, t.part, "noisy", "p_name", 90.0)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,44 @@ def test_fuzzy_best(spark):
     assert {r["n"]: r["c"] for r in joins.fuzzy_best(names, dim, "n", "c").collect()} == {"United Manchester": "Manchester United", "Arsenl London": "Arsenal London"}
 
 
+def _token_sort_ratio(a, b):
+    a, b = (" ".join(sorted(x.lower().split())) for x in (a, b))
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(new[-1], row[j + 1]))
+        row = new
+    return 200.0 * row[-1] / (len(a) + len(b))
+
+
+def test_fuzzy_best_without_shared_prefixes(spark):
+    names = spark.createDataFrame([("Bornemouth",), ("Arsenl",), ("rsenal",), ("Nobody",)], "n string")
+    dim = spark.createDataFrame([("Bournemouth",), ("Arsenal",)], "c string")
+    assert {r["n"]: r["c"] for r in joins.fuzzy_best(names, dim, "n", "c").collect()} == {"Bornemouth": "Bournemouth", "Arsenl": "Arsenal", "rsenal": "Arsenal"}
+
+
+@pytest.mark.parametrize("least", [90.0, 75.0])
+def test_fuzzy_best_against_all_pairs(spark, least):
+    r = random.Random(5)
+    dim = sorted({" ".join("".join(r.choices("abcd", k=r.randint(1, 9))) for _ in range(r.randint(1, 4))) for _ in range(150)})
+    names = set()
+    for x in dim:
+        letters = list(x)
+        for _ in range(r.randint(1, 4)):
+            letters[(i := r.randrange(len(letters))) : i + r.randint(0, 1)] = r.choices("abcd", k=r.randint(0, 1)) or ["a"]
+        words = "".join(letters).split()
+        r.shuffle(words)
+        names.add(" ".join(words))
+    want = {}
+    for n in names:
+        score, entry = min((-_token_sort_ratio(n, c), c) for c in dim)
+        if round(-score) >= least:
+            want[n] = (entry, round(-score, 4))
+    got = joins.fuzzy_best(spark.createDataFrame([(n,) for n in names], "n string"), spark.createDataFrame([(c,) for c in dim], "c string"), "n", "c", least)
+    assert {x["n"]: (x["c"], x["score"]) for x in got.collect()} == want
+
+
 @pytest.mark.parametrize(
     "edges,want",
     [
@@ -178,3 +217,20 @@ def test_stacking(spark):
     done = decision.calibrated(scored, decision.isotonic(scored, ["p0", "p1", "p2"], "y"), ["p0", "p1", "p2"])
     r = done.agg(F.min(F.col("p0") + F.col("p1") + F.col("p2")).alias("lo"), F.avg(((F.col("p0") > 0.5) == (F.col("y") == 0.0)).cast("int")).alias("hit")).first()
     assert math.isclose(r["lo"], 1.0) and r["hit"] > 0.9
+
+
+def test_fuzzy_best_query_against_all_pairs(spark):
+    """Every part name that the query reverses and edits finds the best entry that all pairs give."""
+    from gritstone.plans import registry
+
+    folder = "/root/testdata/sf0.001"
+    parts = spark.read.parquet(f"{folder}/part.parquet").select("p_partkey", "p_name").collect()
+    want = {}
+    for p in parts:
+        at = p["p_partkey"] % len(p["p_name"])
+        noisy = " ".join(reversed((p["p_name"][:at] + p["p_name"][at + 1 :]).split(" ")))
+        score, entry = min((-_token_sort_ratio(noisy, q["p_name"]), q["p_name"]) for q in parts)
+        if round(-score) >= 90:
+            want[noisy] = entry
+    got = registry.queries()["fuzzy_best"](spark, folder)
+    assert {r["noisy"]: r["p_name"] for r in got.collect()} == want
