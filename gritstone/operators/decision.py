@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, RobustScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -98,16 +99,36 @@ def winsorised(df: DataFrame, limits: dict[str, tuple[float, float]]) -> DataFra
     return df.withColumns({c: clip(c, lo, hi) for c, (lo, hi) in limits.items()})
 
 
-def perspective_model(train: DataFrame, columns: Sequence[str], label: str) -> PipelineModel:
-    """Median imputation, robust scaling and a multinomial logistic model."""
+#: regParam and elasticNetParam of the models that a search compares.
+GRID = tuple((reg, mix) for reg in (0.001, 0.01, 0.1) for mix in (0.0, 0.5))
+
+
+def _scaling(columns: Sequence[str]) -> list:
     filled = [f"__{c}" for c in columns]
-    stages = [
+    return [
         Imputer(strategy="median", inputCols=list(columns), outputCols=filled),
         VectorAssembler(inputCols=filled, outputCol="__raw"),
         RobustScaler(inputCol="__raw", outputCol="__x", withCentering=True),
-        LogisticRegression(featuresCol="__x", labelCol=label, probabilityCol="__p", family="multinomial", regParam=0.01, maxIter=50),
     ]
-    return Pipeline(stages=stages).fit(train)
+
+
+def _logistic(label: str, reg: float = 0.01, mix: float = 0.0) -> LogisticRegression:
+    return LogisticRegression(featuresCol="__x", labelCol=label, probabilityCol="__p", family="multinomial", regParam=reg, elasticNetParam=mix, maxIter=50)
+
+
+def perspective_model(train: DataFrame, columns: Sequence[str], label: str) -> PipelineModel:
+    """Median imputation, robust scaling and a multinomial logistic model."""
+    return Pipeline(stages=[*_scaling(columns), _logistic(label)]).fit(train)
+
+
+def tuned_perspective(train: DataFrame, valid: DataFrame, columns: Sequence[str], label: str, grid: Sequence[tuple[float, float]] = GRID) -> PipelineModel:
+    """The model of the grid, fitted on the training rows, of the least log loss on the validation rows (the first of equals)."""
+    scaling = Pipeline(stages=_scaling(columns)).fit(train)
+    rows, held = (scaling.transform(x).select("__x", label) for x in (train, valid))
+    loss = MulticlassClassificationEvaluator(metricName="logLoss", labelCol=label, probabilityCol="__p")
+    found = [_logistic(label, *one).fit(rows) for one in grid]
+    losses = [loss.evaluate(m.transform(held)) for m in found]
+    return PipelineModel(stages=[*scaling.stages, found[losses.index(min(losses))]])
 
 
 def probabilities(model: PipelineModel, df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -135,3 +156,39 @@ def stacked(train: DataFrame, valid: DataFrame, columns: Sequence[str], meta: Se
     base = perspective_model(train, columns, label)
     scored = probabilities(base, valid, ["b0", "b1", "b2"])
     return base, perspective_model(scored, ["b0", "b1", "b2", *meta], label)
+
+
+def perspectives(train: DataFrame, valid: DataFrame, home: Sequence[str], away: Sequence[str], label: str, grid: Sequence[tuple[float, float]] = GRID) -> list[tuple[PipelineModel, list[str]]]:
+    """Tuned models of both sides and one of all columns, each with the names of its probabilities.
+
+    Labels are 0 (home), 1 (draw) and 2 (away). The away side's model has 0 and 2 swapped in its target, and its probabilities
+    are named so that h0, a0 and c0 all are those of label 0.
+    """
+    swap = lambda df: df.withColumn("__swapped", 2.0 - F.col(label))
+    return [
+        (tuned_perspective(train, valid, home, label, grid), ["h0", "h1", "h2"]),
+        (tuned_perspective(swap(train), swap(valid), away, "__swapped", grid), ["a2", "a1", "a0"]),
+        (perspective_model(train, [*home, *away], label), ["c0", "c1", "c2"]),
+    ]
+
+
+def stacked_perspectives(train: DataFrame, valid: DataFrame, home: Sequence[str], away: Sequence[str], meta: Sequence[str], label: str):
+    """A function from rows and names to the meta model's probabilities, which stand on those of three models and the meta columns.
+
+    The validation rows choose the parameters; the meta model is fitted on the training rows alone.
+    """
+    models = perspectives(train, valid, home, away, label)
+
+    def base(df: DataFrame) -> DataFrame:
+        for model, names in models:
+            df = probabilities(model, df, names)
+        return df
+
+    last = perspective_model(base(train), [*(n for _, names in models for n in names), *meta], label)
+    return lambda df, names: probabilities(last, base(df), names)
+
+
+def first_half(df: DataFrame, at: Column) -> DataFrame:
+    """Rows up to the median of a time or number: one number reaches the driver."""
+    middle = df.agg(F.percentile(at, 0.5)).first()[0]
+    return df.where(at <= F.lit(middle))

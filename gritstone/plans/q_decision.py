@@ -67,15 +67,18 @@ def roi_breakdown(t: Tables) -> DataFrame:
 
 @query("M2 M3 M4 M5 M6 M7")
 def stacked_probabilities(t: Tables) -> DataFrame:
-    """Winsorised, imputed and scaled features, a base and a meta model, and calibrated probabilities of held-out rows."""
+    """Winsorised, imputed and scaled features, tuned models of two sides and one of both, a meta model, and calibrated probabilities.
+
+    Training rows fit all models, validation rows choose parameters, their first half by date calibrates; later rows are scored.
+    """
     label = F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0)
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", label.alias("y"), F.year("l_shipdate").alias("yr"))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", label.alias("y"), F.year("l_shipdate").alias("yr"), F.unix_date(F.to_date("l_shipdate")).alias("day"))
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     train, valid, test = rows.where("yr < 1997"), rows.where("yr = 1997"), rows.where("yr > 1997")
     limits = d.winsor_limits(train, cols)
     train, valid, test = (d.winsorised(x, limits) for x in (train, valid, test))
-    base, meta = d.stacked(train, valid, cols, ["l_discount"], "y")
+    score = d.stacked_perspectives(train, valid, cols[:2], cols[2:], ["l_discount"], "y")
     names = ["p0", "p1", "p2"]
-    score = lambda df: d.probabilities(meta, d.probabilities(base, df, ["b0", "b1", "b2"]), names)
-    out = d.calibrated(score(test), d.isotonic(score(valid), names, "y"), names)
+    held = d.first_half(valid, F.col("day"))
+    out = d.calibrated(score(test, names), d.isotonic(score(held, names), names, "y"), names)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *(F.round(n, 4).alias(n) for n in names))

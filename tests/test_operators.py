@@ -219,6 +219,18 @@ def test_stacking(spark):
     assert math.isclose(r["lo"], 1.0) and r["hit"] > 0.9
 
 
+def test_stacking_of_both_perspectives(spark):
+    """The away model learns the swapped target, the search takes the grid's best, and calibration rows are a half."""
+    rows = [(float(i % 7), float((i * 5) % 7), float((i % 7) // 3), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "a double, b double, y double, t int").coalesce(1).cache()
+    models = decision.perspectives(df, df, ["b"], ["a"], "y", [(5.0, 0.0), (0.001, 0.0)])
+    assert [n for _, names in models for n in names] == ["h0", "h1", "h2", "a2", "a1", "a0", "c0", "c1", "c2"]
+    assert models[1][0].stages[-1].getRegParam() == 0.001 and models[1][0].stages[-1].getLabelCol() == "__swapped"
+    scored = decision.probabilities(*models[1][:1], df, models[1][1])
+    assert scored.agg(F.avg(((F.col("a0") > 0.5) == (F.col("y") == 0.0)).cast("int"))).first()[0] > 0.9
+    assert decision.first_half(df, F.col("t")).count() == 150
+
+
 def test_fuzzy_best_query_against_all_pairs(spark):
     """Every part name that the query reverses and edits finds the best entry that all pairs give."""
     from gritstone.plans import registry
