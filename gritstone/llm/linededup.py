@@ -1,27 +1,30 @@
 """Line dedup through content-defined chunks of lines.
 
 A polynomial rolling hash over the hashes of two lines decides, from these lines alone, whether a chunk ends after the second one; long
-lines are chunks of their own. Several such chunkings with other seeds run side by side, so that a passage of a few lines holds a whole
-chunk of one of them wherever it stands. Chunks that occur again anywhere are
-matched with their first occurrence, the one in the document of the smallest id, and the match grows line by line, before and after,
-as far as the lines' hashes are equal. The bytes are compared then: all lines of one hash in any match must be the same line, else the
-runs with that hash stay. Runs of at least ``least_words`` words are removed from all documents but the first.
+lines are chunks of their own. A chunk that stands anywhere else too, in the same document or another, is matched with its first
+place, the one in the document of the smallest id. A passage need not hold a whole chunk, so the rolling hash's own windows, every two
+neighbouring lines, are matched in the same way; they reach from a chunk's match to the passage's ends. All places of a hash are
+compared byte by byte, and hashes that different lines share match nothing.
+
+So the result is defined without hashes: a line is marked if it is long, or stands together with its neighbour, in an earlier place (an
+earlier document, or above in the same one). Marked lines make a run as far as each two of its neighbours were found together; runs of at
+least ``least_words`` words go. The first place of every line stays.
 
 Rows with the same doc_id and text are one document here: they keep the same lines. Null texts stay null; empty ones stay empty. Null
-ids come before others. An empty table gives an empty result. Columns other than doc_id and text pass through unchanged.
+ids come before others. An empty table gives an empty result. Columns other than doc_id and text pass through unchanged, whatever their
+names; one with the name of the count is replaced by it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gritstone.llm._store import keep
+from gritstone.llm._store import drop, keep
 from gritstone.session import ship
 
 _BASE = 0x9E3779B97F4A7C15
@@ -45,119 +48,84 @@ def chunks(lines: list[bytes], seed: int, one_in: int = 2, long_line: int = LONG
     return out
 
 
+def places(lines: list[bytes], seed: int = 0, long_line: int = LONG_LINE) -> list[tuple[int, int]]:
+    """The ranges that are matched: chunks of several lines, long lines, and every two neighbouring lines."""
+    out = {(a, b) for a, b in chunks(lines, seed, long_line=long_line) if b - a > 1}
+    out.update((i, i + 1) for i, x in enumerate(lines) if x.count(b" ") >= long_line - 1)
+    out.update((i, i + 2) for i in range(len(lines) - 1))
+    return sorted(out)
+
+
+def content_hash(content: bytes) -> int:
+    """A signed 64-bit hash."""
+    h = xxhash.xxh64_intdigest(content, 202)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def _lines(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split(b"\n")
 
 
-def _words(lines: list[bytes]) -> int:
-    return sum(len(x.split()) for x in lines)
+_PLACE = "struct<lo:int,hi:int,h:long>"
 
 
-def outlines(df: DataFrame, seeds: int = 3, least_anchor: int = 4) -> DataFrame:
-    """doc_id, thash, the hashes of a text's lines, and its chunks of ``least_anchor`` words at least: (lo, hi, hash)."""
+def outlines(df: DataFrame, hashed: Callable[[bytes], int] = content_hash) -> DataFrame:
+    """doc_id, thash and the places of a text's chunks: (lo, hi, hash)."""
     ship(df.sparkSession)
     rows = df.where("text is not null and text <> ''").select("doc_id", F.xxhash64("text").alias("thash"), "text")
-    names = ["doc_id", "thash", "lines", "chunks"]
-    chunk = pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("h", pa.int64())])
+    place = pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("h", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
-        signed = lambda x: x - (1 << 64) if x >> 63 else x
         for batch in batches:
-            hashes, own = [], []
+            sizes, lo, hi, h = [0], [], [], []
             for text in batch.column(2):
                 lines = _lines(text.as_py())
-                counts = [len(x.split()) for x in lines]
-                hashes.append([signed(digest(x, 101)) for x in lines])
-                found = sorted({c for seed in range(seeds) for c in chunks(lines, seed)})
-                own.append([{"lo": a, "hi": b, "h": signed(digest(b"\n".join(lines[a:b]), 202))} for a, b in found if sum(counts[a:b]) >= least_anchor])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64())), pa.array(own, pa.list_(chunk))], names=names)
+                for a, b in places(lines):
+                    lo.append(a)
+                    hi.append(b)
+                    h.append(hashed(lines[a] if b - a == 1 else b"\n".join(lines[a:b])))
+                sizes.append(len(lo))
+            flat = pa.StructArray.from_arrays([pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(h, pa.int64())], fields=list(place))
+            own = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), own], names=["doc_id", "thash", "chunks"])
 
     id_type = df.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(cut, f"doc_id {id_type}, thash long, lines array<long>, chunks array<struct<lo:int,hi:int,h:long>>").dropDuplicates(["doc_id", "thash"])
-
+    return rows.mapInArrow(cut, f"doc_id {id_type}, thash long, chunks array<{_PLACE}>")
 
-def _grown(own: list[int], first: list[int], lo: int, hi: int, first_lo: int) -> tuple[int, int, int] | None:
-    """The run around equal chunks: its lines, and where it begins in the first document; None if the chunks differ."""
-    first_hi = first_lo + hi - lo
-    if own[lo:hi] != first[first_lo:first_hi]:
-        return None
-    while lo and first_lo and own[lo - 1] == first[first_lo - 1]:
-        lo, first_lo = lo - 1, first_lo - 1
-    while hi < len(own) and first_hi < len(first) and own[hi] == first[first_hi]:
-        hi, first_hi = hi + 1, first_hi + 1
-    return lo, hi, first_lo
 
-
-def repeats(df: DataFrame, seeds: int = 3) -> DataFrame:
-    """doc_id, thash, lo, hi and is_first: line ranges that repeat lines of an earlier document, and (is_first) those that are repeated."""
-    ship(df.sparkSession)
-    own = keep(outlines(df, seeds))
+def repeats(df: DataFrame, hashed: Callable[[bytes], int] = content_hash) -> DataFrame:
+    """doc_id, thash, lo, hi, h and is_first: the places of each hash that has several, and whether this one is the first."""
+    own = keep(outlines(df, hashed))
     rows = own.select("doc_id", "thash", F.explode("chunks").alias("c")).select("doc_id", "thash", "c.lo", "c.hi", "c.h")
-    first = F.min(F.struct("doc_id", "thash", "lo", "hi")).alias("first")
-    # A written table, so that Spark can split the rows of a hot chunk when it joins them.
-    again = keep(rows.groupBy("h").agg(first, F.count("*").alias("n")).where("n > 1").drop("n"))
-    members = rows.join(again, "h").where(~F.struct("doc_id", "thash", "lo", "hi").eqNullSafe(F.col("first")))
-    pairs = members.groupBy("doc_id", "thash", F.col("first.doc_id").alias("f_id"), F.col("first.thash").alias("f_thash"))
-    pairs = pairs.agg(F.collect_set(F.struct("lo", "hi", F.col("first.lo").alias("f_lo"))).alias("chunks"))  # chunks of one document at most
-    lines = own.select(F.col("doc_id").alias("d"), F.col("thash").alias("t"), "lines")
-    same = lambda a, b: F.col(a).eqNullSafe(F.col("d")) & (F.col(b) == F.col("t"))
-    both = pairs.join(lines, same("doc_id", "thash")).drop("d", "t").join(lines.withColumnRenamed("lines", "f_lines"), same("f_id", "f_thash")).drop("d", "t")
-    names = ["doc_id", "thash", "lo", "hi", "is_first"]
-
-    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            which: list[int] = []
-            los, his, firsts = [], [], []
-            for row, (list_, a, b) in enumerate(zip(batch.column(4), batch.column(5), batch.column(6))):
-                mine, theirs = a.as_py(), b.as_py()
-                found = {_grown(mine, theirs, c["lo"], c["hi"], c["f_lo"]) for c in list_.as_py()} - {None}
-                for lo, hi, f_lo in found:  # type: ignore[misc]
-                    which += [row, row + batch.num_rows]
-                    los += [lo, f_lo]
-                    his += [hi, f_lo + hi - lo]
-                    firsts += [False, True]
-            at = pa.array(which, pa.int64())
-            ids = pa.concat_arrays([batch.column(0), batch.column(2)]).take(at)
-            hashes = pa.concat_arrays([batch.column(1), batch.column(3)]).take(at)
-            yield pa.RecordBatch.from_arrays([ids, hashes, pa.array(los, pa.int32()), pa.array(his, pa.int32()), pa.array(firsts, pa.bool_())], names=names)
-
-    id_type = df.schema["doc_id"].dataType.simpleString()
-    both = both.select("doc_id", "thash", "f_id", "f_thash", "chunks", "lines", "f_lines")
-    return both.mapInArrow(grow, f"doc_id {id_type}, thash long, lo int, hi int, is_first boolean").distinct()
-
+    place = F.struct("doc_id", "thash", "lo", "hi")
+    # A written table, so that Spark can split the rows of a hot chunk when it joins them. Equal rows of a document are one place.
+    again = rows.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
+    again = keep(again.drop("last"))
+    return rows.join(again, "h").select("doc_id", "thash", "lo", "hi", "h", place.eqNullSafe(F.col("first")).alias("is_first"))
 
-_RUN = "struct<lo:int,hi:int,is_first:boolean>"
 
-
-def _bad_lines(rows: DataFrame, id_type: str) -> DataFrame:
-    """Hashes that lines of different bytes in the runs share, by comparing the smallest and the largest line of each hash."""
+def _shared(rows: DataFrame) -> DataFrame:
+    """Hashes that different bytes share, among the matched places (``places``) of ``text``, by the least and the greatest of each."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
         for batch in batches:
-            own: set[bytes] = set()
-            for text, runs in zip(batch.column(0), batch.column(1)):
+            found: set[tuple[int, bytes]] = set()
+            for text, own in zip(batch.column(0), batch.column(1)):
                 lines = _lines(text.as_py())
-                for r in runs.as_py():
-                    own.update(lines[r["lo"] : r["hi"]])
-            found = sorted(own)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([digest(x, 101) for x in found], np.uint64).view(np.int64)), pa.array(found, pa.binary())], names=["h", "line"])
+                found.update((p["h"], b"\n".join(lines[p["lo"] : p["hi"]])) for p in own.as_py())
+            hashes, contents = zip(*sorted(found)) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(contents, pa.binary())], names=["h", "content"])
 
-    lines = rows.where("__runs is not null").select("text", "__runs").mapInArrow(spread, "h long, line binary")
-    return lines.groupBy("h").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("h")
+    contents = rows.where("places is not null").select("text", "places").mapInArrow(spread, "h long, content binary")
+    return contents.groupBy("h").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a <> b").select("h")
 
 
-def without(text: str, runs: list[tuple[int, int]], least_words: int, bad: set[int] = frozenset()) -> tuple[str, int]:  # type: ignore[assignment]
+def without(text: str, runs: list[tuple[int, int]], least_words: int) -> tuple[str, int]:
     """The text without the runs that are large enough once overlapping ones are joined, and how many lines that removes."""
     lines = text.split("\n")
-    if bad:
-        digest = xxhash.xxh64_intdigest
-        own = [digest(x, 101) for x in _lines(text)]
-        runs = [(lo, hi) for lo, hi in runs if not bad & set(own[lo:hi])]
     joined: list[list[int]] = []
     for lo, hi in sorted(runs):
-        if joined and lo <= joined[-1][1]:
+        if joined and lo < joined[-1][1]:
             joined[-1][1] = max(joined[-1][1], hi)
         else:
             joined.append([lo, hi])
@@ -168,44 +136,42 @@ def without(text: str, runs: list[tuple[int, int]], least_words: int, bad: set[i
     return "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone)
 
 
-def dedup_lines(df: DataFrame, seeds: int = 3, least_words: int = 25, count: str = "removed_lines") -> DataFrame:
+def dedup_lines(df: DataFrame, least_words: int = 25, count: str = "removed_lines", hashed: Callable[[bytes], int] = content_hash) -> DataFrame:
     """``df`` with repeated runs of lines cut out of ``text``, and their number of lines. ``n_chars``, if there, follows the new text."""
     ship(df.sparkSession)
     cols = df.columns
-    id_type = df.schema["doc_id"].dataType.simpleString()
-    runs = repeats(df, seeds).groupBy("doc_id", "thash").agg(F.collect_list(F.struct("lo", "hi", "is_first")).alias("__runs"))
-    runs = runs.select(F.col("doc_id").alias("__d"), F.col("thash").alias("__t"), "__runs")
-    rows = df.join(runs, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t")), "left").select(*cols, "__runs")
-    rows = keep(rows)
-    bad = keep(_bad_lines(rows, id_type))
-    if bad.isEmpty():
-        rows = rows.withColumn("__bad", F.lit(None).cast("array<long>"))
-    else:  # only the colliding hashes of a document's own lines go with it
-        own = rows.where("__runs is not null").select(F.xxhash64(*cols).alias("__k"), F.explode(F.transform(F.split("text", "\n"), lambda x: x)).alias("line"))
-        shared = own.distinct().mapInArrow(_hash_lines, "k long, h long").join(bad, "h").groupBy("k").agg(F.collect_set("h").alias("__bad"))
-        rows = rows.withColumn("__k", F.xxhash64(*cols)).join(shared.withColumnRenamed("k", "__k"), "__k", "left").select(*cols, "__runs", "__bad")
-    text_at, chars_at = cols.index("text"), cols.index("n_chars") if "n_chars" in cols else -1
+    found = keep(repeats(df.select("doc_id", "text"), hashed))
+    # Columns go by number, so that no name of the input can clash.
+    named = df.toDF(*(f"c{i}" for i in range(len(cols))))
+    id_at, text_at, chars_at = (cols.index(c) if c in cols else -1 for c in ("doc_id", "text", "n_chars"))
+
+    def beside(matched: DataFrame) -> DataFrame:
+        """The rows with the matched places of their text, a list that no more than a document's lines bound."""
+        lists = matched.groupBy(F.col("doc_id").alias("d"), F.col("thash").alias("t")).agg(F.collect_set(F.struct("lo", "hi", "h", "is_first")).alias("places"))
+        same = F.col(f"c{id_at}").eqNullSafe(F.col("d")) & (F.xxhash64(f"c{text_at}") == F.col("t"))
+        return keep(named.join(lists, same, "left").drop("d", "t"))
+
+    rows = beside(found)
+    bad = keep(_shared(rows.select(F.col(f"c{text_at}").alias("text"), "places")))
+    if not bad.isEmpty():
+        drop(rows)
+        rows = beside(found.join(bad, "h", "left_anti"))
+    left = [i for i, c in enumerate(cols) if c != count]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(i) for i in range(len(cols))]
             texts, chars = columns[text_at].to_pylist(), columns[chars_at].to_pylist() if chars_at >= 0 else []
             removed = [0] * len(texts)
-            for i, (own, bad_) in enumerate(zip(batch.column(len(cols)), batch.column(len(cols) + 1))):
+            for i, own in enumerate(batch.column(len(cols))):
                 if own.is_valid and texts[i]:
-                    spans = [(r["lo"], r["hi"]) for r in own.as_py() if not r["is_first"]]
-                    texts[i], removed[i] = without(texts[i], spans, least_words, {x & _MASK for x in bad_.as_py()} if bad_.is_valid else frozenset())
+                    spans = [(p["lo"], p["hi"]) for p in own.as_py() if not p["is_first"]]
+                    texts[i], removed[i] = without(texts[i], spans, least_words)
                     if chars_at >= 0 and removed[i]:
                         chars[i] = len(texts[i])
             columns[text_at] = pa.array(texts, pa.string())
             if chars_at >= 0:
                 columns[chars_at] = pa.array(chars, columns[chars_at].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], names=[*cols, count])
-
-    return rows.mapInArrow(cut, df.withColumn(count, F.lit(0).cast("long")).schema)
-
+            yield pa.RecordBatch.from_arrays([*(columns[i] for i in left), pa.array(removed, pa.int64())], names=[*(cols[i] for i in left), count])
 
-def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes = [xxhash.xxh64_intdigest(x.as_py().encode("utf-8", "surrogatepass"), 101) for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(hashes, np.uint64).view(np.int64))], names=["k", "h"])
+    return rows.mapInArrow(cut, df.select(*(df[cols[i]] for i in left), F.lit(0).cast("long").alias(count)).schema)

@@ -543,6 +543,48 @@ def test_shared_passages_go_but_the_first(spark):
             assert out[i]["text"] == "\n".join(clean[i]), i
 
 
+def brute_line_dedup(docs, least=25):
+    """What stays of each (doc_id, text), from the definition: every two neighbouring lines, and long lines, by their first place."""
+    first, out = {}, {}
+    rows = sorted(((d, t.split("\n")) for d, t in docs), key=lambda x: x[0])
+    grams = lambda w: [(i, i + 2) for i in range(len(w) - 1)] + [(i, i + 1) for i, x in enumerate(w) if x.count(" ") >= 24]
+    for d, w in rows:
+        for a, b in grams(w):
+            first.setdefault(tuple(w[a:b]), (d, a))
+            first[tuple(w[a:b])] = min(first[tuple(w[a:b])], (d, a))
+    for d, w in rows:
+        marked = sorted((a, b) for a, b in grams(w) if first[tuple(w[a:b])] != (d, a))
+        runs = []
+        for a, b in marked:
+            if runs and a < runs[-1][1]:
+                runs[-1][1] = max(b, runs[-1][1])
+            else:
+                runs.append([a, b])
+        gone = {i for a, b in runs if sum(len(x.split()) for x in w[a:b]) >= least for i in range(a, b)}
+        out[d] = "\n".join(x for i, x in enumerate(w) if i not in gone)
+    return out
+
+
+@pytest.mark.parametrize("bits", [64, 6])
+def test_line_dedup_equals_brute_force(spark, texts, bits):
+    """Real documents and made ones that share lines; with 6 bits, most hashes are shared by different lines and must match nothing."""
+    rng = random.Random(11)
+    pool = [" ".join(rng.choice("abcdefgh") * 3 for _ in range(rng.choice([0, 1, 5, 9, 30]))) for _ in range(25)]
+    rows = [(k, t) for k, t in texts.items() if t] if bits == 64 else []
+    rows += [(100_000 + i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 30)))) for i in range(60)]
+    rows = [(k, t) for k, t in rows if t]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = linededup.content_hash if bits == 64 else lambda b: zlib.crc32(b) % 64
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(df, hashed=hashed).collect()}
+    if bits == 64:
+        assert got == brute_line_dedup(rows)
+        lines = {x for _, t in rows for x in t.split("\n")}
+        assert {x for t in got.values() for x in t.split("\n")} >= lines - {""}
+    else:  # nothing but true repeats may go
+        want = brute_line_dedup(rows)
+        assert all(len(got[k]) >= len(want[k]) for k in got)
+
+
 def test_line_dedup_odd(spark, odd, empty):
     out = linededup.dedup_lines(odd)
     assert out.columns == [*odd.columns, "removed_lines"]
@@ -550,3 +592,6 @@ def test_line_dedup_odd(spark, odd, empty):
     assert linededup.dedup_lines(empty).count() == 0
     copy = odd.where("doc_id = 7").withColumn("doc_id", F.lit(8).cast("long"))
     assert {r["doc_id"]: r["text"] for r in linededup.dedup_lines(odd.where("doc_id = 7").union(copy)).collect()}[8] == ""
+    clash = linededup.dedup_lines(odd.select("*", *(F.lit(9).alias(c) for c in ("removed_lines", "c0", "places", "h", "lo", "d", "t", "is_first"))))
+    assert clash.columns == [*odd.columns, "c0", "places", "h", "lo", "d", "t", "is_first", "removed_lines"]
+    assert {r["removed_lines"] for r in clash.collect()} == {0} and {r["c0"] for r in clash.collect()} == {9}
