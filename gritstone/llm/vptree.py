@@ -1,13 +1,16 @@
 """Nearest neighbours by cosine, with a vantage-point tree for each shard.
 
-Vectors are scaled to length 1, where a larger cosine is a smaller Euclidean distance. Equal vectors become one point with the smallest
-of their ids, as many as an answer can need. Points are dealt to shards by hash; a shard's tree splits points by their distance from a
-vantage point. A search leaves out a side of a split if the triangle inequality shows that it holds nothing nearer than the k-th found,
-with the k-th distance divided by ``relax``: 1 is exact, more is faster and may miss neighbours. Each block of queries meets each shard
-in a task of its own, and the shards' answers are merged by query. Scores are recomputed in double precision on the original vectors.
+Vectors are scaled to length 1, where a larger cosine is a smaller Euclidean distance. Of vectors of one direction the ``k + 1``
+smallest ids are kept, which is all that an answer can hold. Points are dealt to the nearest of at most ``pivots`` vantage points, and
+a cell with over ``shard_rows`` points to several shards; each shard gets a tree, which splits points by their distance from a vantage
+point. A query first searches one shard of its nearest cell. What it finds there bounds its k-th distance, and it goes on only to cells
+whose distances from their pivots (a ring) can hold something nearer by the triangle inequality. The same inequality leaves out sides
+of a tree's splits. Both compare with the k-th distance divided by ``relax``: 1 is exact, more is faster and may miss neighbours.
+Scores are recomputed in double precision on the original vectors.
 
 Vectors that are null, zero or hold null or non-finite components take no part. Vectors of different lengths never meet. Repeated rows
-are candidates of their own; ties go to the smaller id. An empty table gives an empty result. Columns other than the two are ignored.
+are candidates of their own. Scores that agree in 12 decimals are ties, as rounding alone sets vectors of one direction apart; ties go to
+the smaller id. An empty table gives an empty result. Columns other than the two are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gritstone.llm._store import keep
@@ -27,6 +30,8 @@ from gritstone.session import ship
 LEAF = 64
 #: More than distances near 0 can be off.
 _SLACK = 1e-7
+#: Decimals of a score that decide; the rest is rounding.
+DECIMALS = 12
 
 
 class Tree:
@@ -62,27 +67,29 @@ class Tree:
         self.places = np.concatenate(self.order) if self.order else np.zeros(0, np.int64)
         del self.order
 
-    def search(self, queries: np.ndarray, k: int, relax: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and distances of each query's k nearest points (-1 and infinity where there are fewer), in no order."""
+    def search(self, queries: np.ndarray, k: int, relax: float = 1.0, within: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, point, distance) of each query's k nearest points and all that tie with the k-th, in no order; none is beyond ``within``."""
         n = len(queries)
-        best, rows = np.full((n, k), np.inf), np.full((n, k), -1, np.int64)
+        best = np.full((n, k), np.inf) if within is None else np.repeat(within.astype(float)[:, None], k, axis=1)
+        last = best.max(axis=1)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def offer(q: np.ndarray, which: np.ndarray, d: np.ndarray) -> None:
             """d: distances of queries q to points which."""
-            near = np.flatnonzero((d <= best[q].max(axis=1, keepdims=True)).any(axis=1))
-            if not len(near):
+            row, col = np.nonzero(d <= last[q, None] + _SLACK)
+            if not len(row):
                 return
-            q, d = q[near], d[near]
-            all_d = np.concatenate([best[q], d], axis=1)
-            all_r = np.concatenate([rows[q], np.broadcast_to(which, (len(q), len(which)))], axis=1)
-            take = np.argpartition(all_d, k - 1, axis=1)[:, :k]
-            best[q], rows[q] = np.take_along_axis(all_d, take, 1), np.take_along_axis(all_r, take, 1)
+            found.append((q[row], which[col], d[row, col]))
+            near = np.unique(row)
+            own = np.concatenate([best[q[near]], d[near]], axis=1)
+            best[q[near]] = np.partition(own, k - 1, axis=1)[:, :k]
+            last[q[near]] = best[q[near]].max(axis=1)
 
         # A stack of (node, queries, lower bound of their distance to what is below it).
         stack = [(0, np.arange(n), np.zeros(n))] if self.nodes else []
         while stack:
             node, q, bound = stack.pop()
-            alive = bound * relax <= best[q].max(axis=1) + _SLACK
+            alive = bound * relax <= last[q] + _SLACK
             q = q[alive]
             if not len(q):
                 continue
@@ -102,7 +109,11 @@ class Tree:
                 if mask.any():
                     stack.append((far, q[mask], np.maximum(parent[mask], np.abs(d[mask] - split))))
                     stack.append((near, q[mask], parent[mask]))
-        return rows, best
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        q, which, d = (np.concatenate(x) for x in zip(*found))
+        good = d <= last[q] + _SLACK
+        return q[good], which[good], d[good]
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -117,65 +128,157 @@ def _valid(df: DataFrame, vector: str) -> DataFrame:
     return df.select(F.col("vec_id").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(finite)
 
 
-def build(df: DataFrame, k: int = 5, vector: str = "embedding", shard_rows: int = 8192) -> DataFrame:
-    """The index, a written table with a row for each shard: its vectors' length and the pickled tree, ids and vectors."""
-    ship(df.sparkSession)
-    # Of equal vectors the k + 1 smallest ids can be in an answer; Spark cuts a group to these before it shuffles it.
-    ranked = _valid(df, vector).withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("n") <= k + 1)
-    points = keep(ranked.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("dims", F.size("v")))
-    shards = max(1, -(-points.count() // shard_rows))
-    placed = points.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Scaled to length 1; by the largest component first, so that no square overflows or vanishes."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
+
+
+def _direction(v: Column) -> Column:
+    """What vectors of one direction share, but for rounding at the edge of a decimal."""
+    scaled = F.transform(F.array(v), lambda x: F.transform(x, lambda c: c / F.array_max(F.transform(x, lambda y: F.abs(y)))))[0]
+    length = lambda x: F.sqrt(F.aggregate(x, F.lit(0.0), lambda t, c: t + c * c))
+    return F.transform(F.array(scaled), lambda x: F.transform(x, lambda c: F.round(c / length(x), DECIMALS + 1) + F.lit(0.0)))[0]
+
+
+class Index:
+    """``shards``: a written table with a row for each shard (dims, cell, sub, and the pickled tree, ids and vectors).
+
+    ``cells`` has a few numbers for each pivot, with at most ``pivots`` of them for each length of vectors: dims to the pivots' rows,
+    and for each pivot how many shards its cell has and the least and greatest distance of its points.
+    """
+
+    def __init__(self, shards: DataFrame, cells: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]):
+        self.shards, self.cells = shards, cells
+
+
+def build(df: DataFrame, k: int = 5, vector: str = "embedding", shard_rows: int = 8192, pivots: int = 256) -> Index:
+    """An index of all vectors. Pivots are vectors of the smallest hashes, one for each ``shard_rows`` and at most ``pivots`` a length."""
+    spark = df.sparkSession
+    ship(spark)
+    valid = _valid(df, vector).withColumn("dims", F.size("v"))
+    # Spark cuts a group of one direction to its smallest ids before it shuffles it.
+    alike = Window.partitionBy(_direction(F.col("v"))).orderBy("id")
+    points = keep(valid.withColumn("n", F.row_number().over(alike)).where(F.col("n") <= k + 1).drop("n"))
+    counts = {r["dims"]: r["n"] for r in points.groupBy("dims").agg(F.count("*").alias("n")).collect()}
+    wanted = {d: min(pivots, -(-n // shard_rows)) for d, n in counts.items()}
+    by_hash = Window.partitionBy("dims").orderBy(F.xxhash64("v"), "id")
+    chosen = points.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= pivots).select("dims", "v", "n").collect()
+    at: dict[int, np.ndarray] = {}
+    for d, most in wanted.items():
+        at[d] = unit(np.array([r["v"] for r in sorted(chosen, key=lambda r: r["n"]) if r["dims"] == d and r["n"] <= most], float))
+    shared = spark.sparkContext.broadcast(at)  # at most ``pivots`` vectors a length
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column(2).to_numpy(zero_copy_only=False)
+            cell, far = np.zeros(len(dims), np.int32), np.zeros(len(dims))
+            for d in np.unique(dims):
+                which = np.flatnonzero(dims == d)
+                flat = batch.column(1).take(pa.array(which)).flatten().to_numpy(zero_copy_only=False).reshape(len(which), d)
+                all_ = distances(unit(flat), shared.value[int(d)])
+                cell[which] = all_.argmin(axis=1)
+                far[which] = all_.min(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], names=["id", "v", "dims", "cell", "far"])
+
+    placed = keep(points.select("id", "v", "dims").mapInArrow(assign, "id long, v array<double>, dims int, cell int, far double"))
+    sizes = placed.groupBy("dims", "cell").agg(F.count("*").alias("n"), F.min("far").alias("lo"), F.max("far").alias("hi")).collect()
+    cells = {d: (x, np.zeros(len(x), np.int64), np.full(len(x), np.inf), np.full(len(x), -np.inf)) for d, x in at.items()}
+    for r in sizes:
+        _, subs, lo, hi = cells[r["dims"]]
+        subs[r["cell"]], lo[r["cell"]], hi[r["cell"]] = -(-r["n"] // shard_rows), r["lo"], r["hi"]
+    table = [(r["dims"], r["cell"], -(-r["n"] // shard_rows)) for r in sizes]
+    subs = F.broadcast(spark.createDataFrame(table, "dims int, cell int, subs long"))
+    dealt = placed.join(subs, ["dims", "cell"]).withColumn("sub", F.pmod(F.xxhash64("id", "v"), F.col("subs")).cast("int"))
 
     def plant(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ids", key=lambda s: s.map(lambda x: x[0]))
+        pdf = pdf.sort_values("id", kind="stable")
         vectors = np.stack(pdf["v"].to_numpy())
-        tree = Tree(unit(vectors))
-        blob = pickle.dumps((tree, [np.asarray(x, np.int64) for x in pdf["ids"]], vectors))
-        return pd.DataFrame({"dims": [int(pdf["dims"].iloc[0])], "shard": [int(pdf["shard"].iloc[0])], "blob": [blob]})
+        blob = pickle.dumps((Tree(unit(vectors)), pdf["id"].to_numpy(np.int64), vectors))
+        return pd.DataFrame({c: [int(pdf[c].iloc[0])] for c in ("dims", "cell", "sub")} | {"blob": [blob]})
 
-    return keep(placed.groupBy("dims", "shard").applyInPandas(plant, "dims int, shard int, blob binary"))
+    return Index(keep(dealt.groupBy("dims", "cell", "sub").applyInPandas(plant, "dims int, cell int, sub int, blob binary")), cells)
 
 
-def unit(vectors: np.ndarray) -> np.ndarray:
-    """Scaled to length 1; by the largest component first, so that no square overflows or vanishes."""
-    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
+def _route(batches: Iterator[pa.RecordBatch], cells: dict, relax: float, first: bool) -> Iterator[pa.RecordBatch]:
+    """The shards that each query goes to: one of its nearest cell, or all others that may hold what is as near as ``within``."""
+    for batch in batches:
+        dims, salt = batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy(zero_copy_only=False)
+        within = batch.column(4).to_numpy(zero_copy_only=False)
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for d in np.unique(dims):
+            if int(d) not in cells:
+                continue
+            pivots, subs, lo, hi = cells[int(d)]
+            which = np.flatnonzero(dims == d)
+            q = unit(batch.column(1).take(pa.array(which)).flatten().to_numpy(zero_copy_only=False).reshape(len(which), d))
+            far = distances(q, pivots)
+            home = np.where(subs > 0, far, np.inf).argmin(axis=1)
+            own = salt[which] % subs[home]
+            if first:
+                out.append((which, home, own))
+                continue
+            bound = np.maximum(0, np.maximum(far - hi, lo - far))
+            row, cell = np.nonzero((bound * relax <= within[which, None] + _SLACK) & (subs > 0))
+            each = np.repeat(np.arange(len(row)), subs[cell])
+            sub = np.arange(len(each)) - np.repeat(np.cumsum(subs[cell]) - subs[cell], subs[cell])
+            row, cell = row[each], cell[each]
+            rest = (cell != home[row]) | (sub != own[row])
+            out.append((which[row[rest]], cell[rest], sub[rest]))
+        rows, cell, sub = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+        for i in range(0, len(rows), 10_000):  # a query may go to many shards, so batches stay small
+            part = batch.take(pa.array(rows[i : i + 10_000]))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell[i : i + 10_000].astype(np.int32)), pa.array(sub[i : i + 10_000].astype(np.int32))], names=[*part.schema.names, "cell", "sub"])
 
 
-def nearest(index: DataFrame, queries: DataFrame, k: int = 5, relax: float = 1.0, vector: str = "embedding", block: int = 2048) -> DataFrame:
-    """query_id, rank, vec_id and score of each query's k nearest points other than itself."""
-    spark = index.sparkSession
-    ship(spark)
-    asked = keep(_valid(queries, vector).withColumn("dims", F.size("v")))
-    blocks = max(1, -(-asked.count() // block))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+def _searched(index: Index, asked: DataFrame, k: int, relax: float, block: int, first: bool) -> DataFrame:
+    """query_id, vec_id and score: the best ``k`` of each shard that a query goes to. ``asked``: id, v, dims, salt and within."""
+    shared = asked.sparkSession.sparkContext.broadcast(index.cells)
+    routed = asked.mapInArrow(lambda batches: _route(batches, shared.value, relax, first), "id long, v array<double>, dims int, salt long, within double, cell int, sub int")
+    routed = keep(routed)
+    counts = routed.groupBy("dims", "cell", "sub").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
+    dealt = routed.join(counts, ["dims", "cell", "sub"]).withColumn("block", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int"))
 
     def bundle(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"dims": [int(pdf["dims"].iloc[0])], "block": [int(pdf["block"].iloc[0])], "asked": [pickle.dumps((pdf["id"].to_numpy(), np.stack(pdf["v"].to_numpy())))]})
+        own = pickle.dumps((pdf["id"].to_numpy(np.int64), np.stack(pdf["v"].to_numpy()), pdf["within"].to_numpy(float)))
+        return pd.DataFrame({c: [int(pdf[c].iloc[0])] for c in ("dims", "cell", "sub")} | {"asked": [own]})
 
-    bundles = keep(asked.groupBy("dims", "block").applyInPandas(bundle, "dims int, block int, asked binary"))
-    # Each shard meets each block of the stated queries: both are dealt to the pair's task.
-    of_blocks = index.join(bundles.groupBy("dims").agg(F.collect_set("block").alias("of")), "dims").select("dims", "shard", "blob", F.explode("of").alias("block"))
-    of_shards = bundles.join(index.groupBy("dims").agg(F.collect_set("shard").alias("of")), "dims").select("dims", "block", "asked", F.explode("of").alias("shard"))
-    pairs = of_blocks.join(of_shards, ["dims", "shard", "block"]).select("blob", "asked")
+    bundles = dealt.groupBy("dims", "cell", "sub", "block").applyInPandas(bundle, "dims int, cell int, sub int, asked binary")
+    pairs = keep(bundles).join(index.shards, ["dims", "cell", "sub"]).select("blob", "asked")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob, own in zip(batch.column(0), batch.column(1)):
                 tree, ids, vectors = pickle.loads(blob.as_py())
-                qid, q = pickle.loads(own.as_py())
+                qid, q, within = pickle.loads(own.as_py())
                 # One more point than wanted, as a query may be a point itself.
-                rows, _ = tree.search(unit(q), k + 1, relax)
-                out = []
-                norms, lengths = np.sqrt((vectors * vectors).sum(axis=1)), np.sqrt((q * q).sum(axis=1))
-                for i in range(len(qid)):
-                    which = rows[i][rows[i] >= 0]
-                    scores = (vectors[which] * q[i]).sum(axis=1) / (norms[which] * lengths[i])
-                    found = [(-s, int(x)) for s, r in zip(scores, which) for x in ids[r] if x != qid[i]]
-                    out += [(int(qid[i]), x, -s) for s, x in sorted(found)[:k]]
-                table = list(zip(*out)) if out else [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(table[0], pa.int64()), pa.array(table[1], pa.int64()), pa.array(table[2], pa.float64())], names=["query_id", "vec_id", "score"])
-
-    found = pairs.mapInArrow(search, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+                row, which, _ = tree.search(unit(q), k + 1, relax, within)
+                cosine = lambda x, y: (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
+                with np.errstate(over="ignore", invalid="ignore"):
+                    scores = cosine(vectors[which], q[row])
+                if not np.isfinite(scores).all():  # components whose squares overflow or vanish
+                    scores = cosine(unit(vectors)[which], unit(q)[row])
+                rest = ids[which] != qid[row]
+                row, which, scores = row[rest], ids[which[rest]], scores[rest]
+                order = np.lexsort((which, -np.round(scores, DECIMALS), row))
+                row, which, scores = row[order], which[order], scores[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row)
+                top = place < k
+                yield pa.RecordBatch.from_arrays([pa.array(qid[row[top]]), pa.array(which[top]), pa.array(scores[top])], names=["query_id", "vec_id", "score"])
+
+    return pairs.mapInArrow(search, "query_id long, vec_id long, score double")
+
+
+def nearest(index: Index, queries: DataFrame, k: int = 5, relax: float = 1.0, vector: str = "embedding", block: int = 2048) -> DataFrame:
+    """query_id, rank, vec_id and score of each query's k nearest points other than itself."""
+    ship(queries.sparkSession)
+    valid = _valid(queries, vector).dropDuplicates(["id", "v"])
+    asked = keep(valid.select("id", "v", F.size("v").alias("dims"), F.pmod(F.xxhash64("id"), F.lit(1 << 30)).alias("salt"), F.lit(float("inf")).alias("within")))
+    home = keep(_searched(index, asked, k, relax, block, True))
+    # The k-th distance so far; without k neighbours there is no bound.
+    least = home.groupBy("query_id").agg(F.min("score").alias("s"), F.count("*").alias("n")).where(F.col("n") >= k)
+    bound = F.coalesce(F.sqrt(F.greatest(2 - 2 * F.col("s"), F.lit(0.0))) + F.lit(_SLACK), F.lit(float("inf")))
+    again = asked.drop("within").join(least, F.col("id") == F.col("query_id"), "left").select("id", "v", "dims", "salt", bound.alias("within"))
+    found = home.unionByName(_searched(index, again, k, relax, block, False))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.round("score", DECIMALS).desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -262,12 +262,38 @@ def test_pii_query_and_odd(spark, texts, odd, empty):
 
 def test_tree_is_exact_at_factor_one():
     rng = np.random.default_rng(1)
-    points = vptree.unit(np.r_[rng.standard_normal((900, 8)), np.eye(8)])
-    asked = vptree.unit(rng.standard_normal((40, 8)))
-    tree = vptree.Tree(points, leaf=8)
-    _, got = tree.search(asked, 5)
-    want = np.sort(vptree.distances(asked, points), axis=1)[:, :5]
-    assert np.allclose(np.sort(got, axis=1), want)
+    points = vptree.unit(np.r_[rng.standard_normal((900, 8)), np.eye(8), np.eye(8)])
+    asked = vptree.unit(np.r_[rng.standard_normal((40, 8)), np.eye(8)])
+    row, which, got = vptree.Tree(points, leaf=8).search(asked, 5)
+    all_ = vptree.distances(asked, points)
+    for i in range(len(asked)):
+        own = np.flatnonzero(row == i)
+        assert np.allclose(np.sort(got[own])[:5], np.sort(all_[i])[:5])
+        assert set(which[own]) >= set(np.flatnonzero(all_[i] <= np.sort(all_[i])[4]))
+
+
+def test_nearest_is_exact_at_factor_one(spark):
+    """Several cells, shards and blocks, a hot direction, repeated rows, and columns with names that the operator uses itself."""
+    rng = np.random.default_rng(2)
+    x = np.r_[rng.integers(-2, 3, (500, 4)), np.outer(rng.integers(1, 40, 300), [1, 2, 0, 0]), rng.integers(-2, 3, (60, 4)) * 7].astype(float)
+    ids = rng.permutation(len(x))
+    ids[-1] = ids[-2]  # one id twice
+    rows = [(int(i), v.tolist(), 1, 2, 3) for i, v in zip(ids, x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, cell int, dims int, id int")
+    index = vptree.build(df, 5, shard_rows=40, pivots=6)
+    assert index.shards.count() > 10 and max(c[1].max() for c in index.cells.values()) > 1
+    got = {}
+    for r in vptree.nearest(index, df.where("vec_id % 3 = 0"), 5, block=7).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    valid = (x != 0).any(axis=1)
+    u = vptree.unit(np.where(valid[:, None], x, 1.0))
+    for i in np.flatnonzero(valid & (ids % 3 == 0)):
+        if (ids == ids[i]).sum() > 1:
+            continue
+        cos = np.round(u @ u[i], 11)
+        want = [v for _, v in sorted((-c, int(v)) for c, v, ok in zip(cos, ids, valid) if ok and v != ids[i])[:5]]
+        assert [v for _, v in sorted(got[int(ids[i])])] == want
+    assert all(int(i) not in got for i in ids[~valid] if (ids == i).sum() == 1)
 
 
 def test_nearest(spark):
