@@ -1,6 +1,6 @@
 """Best-two-fit packing of token sequences into fixed lengths.
 
-Documents are cut into pieces of at most ``size`` tokens; full pieces fill a sequence each. The others are packed by best-two-fit: a
+Documents are cut into pieces of at most ``size`` tokens; full pieces fill a sequence each, under any unused number. The others are packed by best-two-fit: a
 bin is filled greedily with the longest pieces that still fit, then its smallest piece is replaced by the two unpacked pieces that fill
 the widened gap best, where they fill it better. Lengths are all that matters for this, so it runs on the counts of each length (at
 most ``size`` numbers, whatever the data's size) and gives patterns with multiplicities: a bin's decisions repeat until a length of it
@@ -188,16 +188,20 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, i
     return out
 
 
-def pack(cut: DataFrame, size: int = 1024, salts: int = 256) -> DataFrame:
-    """The pieces with ``sequence_id`` and ``offset``. ``cut`` must be a written table: it is read twice."""
+def pack(cut: DataFrame, size: int = 1024, part_rows: int = 100_000) -> DataFrame:
+    """The pieces with ``sequence_id`` and ``offset``. ``cut`` must be a written table: it is read several times.
+
+    Full pieces need no place among others: each gets a number of its own. The others are ranked in salted parts of about ``part_rows``.
+    """
     spark = cut.sparkSession
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
-    parts = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # one row a length
+    counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # one row a length
     full = counts.pop(size, 0)
-    table = slots(best_two_fit(counts, size))
-    if full:
-        table.append((size, 0, full, max((s + hi - lo for _, lo, hi, s, _ in table), default=0), 0))
+    patterns = best_two_fit(counts, size)
+    table = slots(patterns)
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    salts = max(8, -(-max(counts.values(), default=0) // part_rows))
+    salted = cut.where(F.col("length") < size).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
+    parts = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     places = spark.createDataFrame(table, "n long, lo long, hi long, first long, offset long")
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
@@ -207,7 +211,12 @@ def pack(cut: DataFrame, size: int = 1024, salts: int = 256) -> DataFrame:
     ranked = ranked.join(starts, ["length", "salt"]).withColumn("rank", F.col("before") + F.col("in_part"))
     # A few rows for each length, whatever the data's size.
     found = ranked.join(F.broadcast(places), (F.col("length") == F.col("n")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
-    return found.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("rank") - F.col("lo")).alias("sequence_id"), "offset")
+    out = found.select(*names, (F.col("first") + F.col("rank") - F.col("lo")).alias("sequence_id"), "offset")
+    if not full:
+        return out
+    alone = cut.where(F.col("length") == size)
+    number = F.monotonically_increasing_id() + F.lit(sum(n for _, n in patterns))
+    return out.unionByName(alone.select(*names, number.alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
 
 
 def packed(df: DataFrame, size: int = 1024, end: int = 2) -> DataFrame:

@@ -186,6 +186,30 @@ def test_encoder_equals_the_library():
         assert enc(t) == enc.library(t), repr(t)
 
 
+def plain_best_two_fit(counts, size):
+    """Bins, one piece after another: fill greedily, then try every two unpacked pieces in place of the smallest."""
+    left = sorted((n for n, c in counts.items() for _ in range(c)), reverse=True)
+    bins = 0
+    while left:
+        own, gap = [], size
+        for n in list(left):
+            if n <= gap:
+                own.append(n)
+                left.remove(n)
+                gap -= n
+        if gap and len(own) > 1:
+            room = gap + min(own)
+            pairs = [(a + b, a, b) for i, a in enumerate(left) for b in left[i + 1 :] if min(own) < a + b <= room]
+            if pairs:
+                _, a, b = max(pairs)
+                left.remove(a)
+                left.remove(b)
+                left.append(min(own))
+                left.sort(reverse=True)
+        bins += 1
+    return bins
+
+
 def test_best_two_fit():
     rng = random.Random(3)
     for _ in range(100):
@@ -198,6 +222,11 @@ def test_best_two_fit():
             for n in pattern:
                 used[n] = used.get(n, 0) + times
         assert used == counts
+    for _ in range(60):
+        size = rng.randrange(5, 40)
+        counts = {rng.randrange(1, size): rng.randrange(1, 4) for _ in range(rng.randrange(1, 10))}
+        got = sum(n for _, n in packing.best_two_fit(counts, size))
+        assert got <= plain_best_two_fit(counts, size) + 1, counts
     # Greedy alone leaves 6 + 3 with a gap of 1; two pieces in place of the 3 fill it.
     assert packing.best_two_fit({6: 1, 3: 1, 2: 2}, 10)[0] == ((6, 2, 2), 1)
 
