@@ -1,11 +1,13 @@
 """Personal data by patterns of form and by bootstrapped context.
 
-Four kinds have forms that are found in every whole text (the base spans). They are the seeds of a second search: the words around a
-seed make lexical patterns (two words before, one before, one before with one after), and other tokens that look like identifiers, with
-a digit or an @, are its unseen candidates. Patterns and instances (values) form a graph that Spark scores in turns: a pattern's confidence
-in a kind is the share of its instances' scores of that kind, a candidate's score is what its patterns leave no doubt about (noisy-or).
-Patterns of high confidence that distinct seeds enough support then add the candidates in their places, where their form may be of that
-kind. Base spans always stay.
+Four kinds have forms that are found in every whole text (the base spans). They are the first instances of a second search: the words
+around an instance make lexical patterns (two words before, one before, one before with one after), and other tokens that look like
+identifiers, with a digit or an @, are unseen candidates; tokens of digits that a space, hyphen or bracket parts are one candidate.
+Patterns and values form a graph that Spark scores in turns. A pattern's confidence in a kind is the share of its values' scores of
+that kind; patterns of high confidence that enough distinct instances support are kept. A candidate in their places, whose form may be
+of that kind, gets what they leave no doubt about as its score (noisy-or) and is an instance from then on: the other contexts it stands
+in support new patterns, which the next turn finds more candidates by. In the end all places of confident patterns give the added
+spans. Base spans always stay.
 
 Null texts count as empty and have no spans. Rows of the same doc_id and text are one document here and get equal results. An empty table
 gives an empty result. Columns other than doc_id and text are ignored.
@@ -14,6 +16,7 @@ gives an empty result. Columns other than doc_id and text are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,6 +38,10 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NUMBER = re.compile(r"[0-9]+")
 _MARK = re.compile(r"[0-9@]")
 _SPACE = re.compile(r"\s")
+_TOKEN = re.compile(r"\S+")
+#: A part of a number, and what may stand between two parts of one.
+_DIGITS = re.compile(r"[0-9+][0-9().+/-]*")
+_JOINT = re.compile(r"[)]?[ -]?[(]?")
 _EDGE = "\"'`.,;:!?()[]{}<>*#$%&=|/\\"
 
 
@@ -79,8 +86,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Tokens without white space that have a digit or an @ and don't touch a base span, without marks around them."""
-    out, at = [], 0
+    """Tokens that have a digit or an @ and don't touch a base span, without marks around them; parts of one number are joined."""
+    out: list[tuple[int, int]] = []
+    number, at = False, 0  # whether the last one found is a number
     spans = sorted((s, e) for _, s, e in base)
     k = 0
     while m := _MARK.search(text, at):
@@ -98,7 +106,12 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         while k < len(spans) and spans[k][1] <= a:
             k += 1
         if a < b and not (k < len(spans) and spans[k][0] < b):
-            out.append((a, b))
+            digits = _DIGITS.fullmatch(text, a, b) is not None
+            if digits and number and a - out[-1][1] <= 3 and _JOINT.fullmatch(text, out[-1][1], a):
+                out[-1] = (out[-1][0], b)
+            else:
+                out.append((a, b))
+            number = digits
     return out
 
 
@@ -111,18 +124,32 @@ def _word(token: str) -> str:
     return _short(token.strip(_EDGE).lower())
 
 
-def contexts(text: str, start: int, end: int, reach: int = 160) -> list[str]:
-    """The lexical patterns around a span: two words before, one before, one before with one after."""
-    before = [_word(x) for x in text[max(0, start - reach) : start].split()[-2:]]
-    after = [_word(x) for x in text[end : end + reach].split()[:1]]
-    out = []
-    if before:
-        out.append("1|" + before[-1])
-        if after:
-            out.append("3|" + before[-1] + "|" + after[0])
-    if len(before) == 2:
-        out.append("2|" + " ".join(before))
-    return [p for p in out if p.strip("123|")]
+class Words:
+    """The white-space tokens of a text, and the patterns around its spans."""
+
+    def __init__(self, text: str):
+        self.text = text
+        places = [m.span() for m in _TOKEN.finditer(text)]
+        self.starts, self.ends = [a for a, _ in places], [b for _, b in places]
+
+    def contexts(self, start: int, end: int) -> list[str]:
+        """The lexical patterns around a span: two words before, one before, one before with one after."""
+        i, j = bisect_left(self.starts, start), bisect_right(self.ends, end)
+        # Marks that touch the span are no words.
+        if i and self.ends[i - 1] > start and not _word(self.text[self.starts[i - 1] : start]):
+            i -= 1
+        if j < len(self.ends) and self.starts[j] < end and not _word(self.text[end : self.ends[j]]):
+            j += 1
+        before = [_word(self.text[self.starts[k] : min(self.ends[k], start)]) for k in range(max(0, i - 2), i)]
+        after = [_word(self.text[max(self.starts[k], end) : self.ends[k]]) for k in range(j, min(j + 1, len(self.ends)))]
+        out = []
+        if before:
+            out.append("1|" + before[-1])
+            if after:
+                out.append("3|" + before[-1] + "|" + after[0])
+        if len(before) == 2:
+            out.append("2|" + " ".join(before))
+        return [p for p in out if p[2:].strip(" |")]
 
 
 def may_be(kind: int, value: str) -> bool:
@@ -155,9 +182,10 @@ def spans_and_contexts(df: DataFrame) -> DataFrame:
                 own = base_spans(text)
                 base.append([{"kind": k, "start": s, "end": e} for k, s, e in own])
                 all_ = [*own, *((-1, s, e) for s, e in candidates(text, own))]
+                words = Words(text) if all_ else None
                 more.append(
                     [
-                        {"kind": k, "start": s, "end": e, "value": _short(text[s:e].lower()), "patterns": contexts(text, s, e), "may": [] if k >= 0 else [j for j in range(4) if may_be(j, text[s:e])]}
+                        {"kind": k, "start": s, "end": e, "value": _short(text[s:e].lower()), "patterns": words.contexts(s, e), "may": [] if k >= 0 else [j for j in range(4) if may_be(j, text[s:e])]}
                         for k, s, e in all_
                     ]
                 )
@@ -168,33 +196,36 @@ def spans_and_contexts(df: DataFrame) -> DataFrame:
 
 
 def confident_patterns(found: DataFrame, turns: int = 3, confidence: float = 0.8, support: int = 5) -> DataFrame:
-    """pattern and kind of the patterns that are confident of a kind and supported by so many distinct seeds.
+    """pattern, kind and turn of the patterns that are confident of a kind and supported by so many distinct instances of it.
 
-    Only patterns with a seed are scored: no other can become confident of a kind in the first turn, and candidates gain nothing
-    from patterns without a score. The graph is a written table of distinct edges; a turn is two joins and two aggregations on it.
+    The graph is a written table of distinct edges. A turn joins it with the instances, sums by pattern, and joins it with the confident
+    patterns to score candidates. Scores only grow, so a pattern once confident stays so.
     """
-    edges = found.select("f.kind", "f.value", F.explode("f.patterns").alias("pattern")).groupBy("pattern", "value", "kind").agg(F.count("*").alias("n"))
-    edges = keep(edges)
-    seeded = edges.where("kind >= 0").groupBy("pattern").agg(F.count_distinct("value").alias("seeds")).where(F.col("seeds") >= support)
-    graph = keep(edges.join(seeded, "pattern"))
+    each = found.select(F.explode("f.patterns").alias("pattern"), "f.value", "f.kind", "f.may")
+    edges = keep(each.groupBy("pattern", "value", "kind").agg(F.max("may").alias("may")))
+    totals = keep(edges.groupBy("pattern").agg(F.count("*").alias("total")).where(F.col("total") >= support))
     kinds = [F.when(F.col("kind") == k, 1.0).otherwise(0.0).alias(f"s{k}") for k in range(4)]
-    scores = None
-    confident = None
-    for _ in range(turns):
-        if scores is None:
-            scored = graph.select("pattern", "value", "kind", "seeds", *kinds)
-        else:
-            own = [F.when(F.col("kind") >= 0, F.when(F.col("kind") == k, 1.0).otherwise(0.0)).otherwise(F.coalesce(f"c{k}", F.lit(0.0))).alias(f"s{k}") for k in range(4)]
-            scored = graph.join(scores, "value", "left").select("pattern", "value", "kind", "seeds", *own)
-        shares = [(F.sum(f"s{k}") / (F.count("*") + 1.0)).alias(f"p{k}") for k in range(4)]
-        of_kind = [F.count_distinct(F.when(F.col("kind") == k, F.col("value"))).alias(f"n{k}") for k in range(4)]
-        confident = keep(scored.groupBy("pattern").agg(*shares, *of_kind))
-        doubts = [(1 - F.exp(F.sum(F.log(F.greatest(1 - F.col(f"p{k}"), F.lit(1e-9)))))).alias(f"c{k}") for k in range(4)]
-        unseen = graph.where("kind < 0").join(confident, "pattern")
-        scores = keep(unseen.groupBy("value").agg(*doubts))
-    assert confident is not None
-    pairs = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"p{k}").alias("p"), F.col(f"n{k}").alias("n")) for k in range(4))))
-    return confident.select("pattern", pairs.alias("x")).where((F.col("x.p") >= confidence) & (F.col("x.n") >= support)).select("pattern", "x.kind")
+    seeds = edges.where("kind >= 0").select("value", "kind").distinct().select("value", "kind", *kinds)
+    instances = keep(seeds)
+    good = None
+    for turn in range(1, turns + 1):
+        shares = [(F.sum(f"s{k}") / (F.first("total") + 1.0)).alias(f"p{k}") for k in range(4)]
+        numbers = [F.count(F.when(F.col(f"s{k}") >= 0.5, 1)).alias(f"n{k}") for k in range(4)]
+        sums = edges.join(instances, ["value", "kind"]).join(totals, "pattern").groupBy("pattern").agg(*shares, *numbers)
+        pairs = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"p{k}").alias("p"), F.col(f"n{k}").alias("n")) for k in range(4))))
+        sure = sums.select("pattern", pairs.alias("x")).where((F.col("x.p") >= confidence) & (F.col("x.n") >= support))
+        sure = sure.select("pattern", F.col("x.kind").alias("k"), F.col("x.p").alias("p"), F.lit(turn).alias("turn"))
+        if good is not None:
+            old = good.select("pattern", "k", F.col("turn").alias("since"))
+            sure = sure.join(old, ["pattern", "k"], "left").select("pattern", "k", "p", F.coalesce("since", "turn").alias("turn"))
+        last, good = good, keep(sure)
+        if turn == turns or last is not None and last.count() == good.count():
+            break
+        doubt = lambda k: F.sum(F.when(F.col("k") == k, F.log(1 - F.col("p"))).otherwise(0.0))
+        scores = edges.where("kind < 0").join(good, "pattern").where(F.array_contains("may", F.col("k"))).groupBy("value", "kind").agg(*((1 - F.exp(doubt(k))).alias(f"s{k}") for k in range(4)))
+        instances = keep(seeds.unionByName(scores))
+    assert good is not None
+    return good.select("pattern", F.col("k").alias("kind"), "turn")
 
 
 def personal_data(df: DataFrame, turns: int = 3, confidence: float = 0.8, support: int = 5) -> DataFrame:

@@ -276,6 +276,30 @@ def test_contexts_discover_identifiers(spark):
     assert not found[101]["added"] and len(found[3]["base"]) == 1
 
 
+def test_discovered_identifiers_discover_more(spark):
+    """Turn 1 finds odd numbers in the places of phone numbers; their own other places find numbers that never stand in those."""
+    rows = [(i, f"word{i} then call me at +1 (80{i % 10}) 555-5{100 + i} today please") for i in range(150)]
+    rows += [(200 + i, f"word{i} then call me at 803 555 {5300 + i} today please") for i in range(10)]
+    rows += [(300 + i, f"and the desk of ours has line 803 555 {5300 + i} open daily") for i in range(10)]
+    rows += [(400, "and the desk of ours has line (44) 771-99{} open daily".format("12")), (401, "he ran line 12 of it")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    values = lambda n: {r["doc_id"]: [text[r["doc_id"]][s["start"] : s["end"]] for s in r["added"]] for r in pii.personal_data(df, turns=n).collect()}
+    one, two = values(1), values(2)
+    assert all(one[200 + i] == two[200 + i] == [f"803 555 {5300 + i}"] for i in range(10))
+    assert not any(one[300 + i] for i in range(10)) and all(two[300 + i] == [f"803 555 {5300 + i}"] for i in range(10))
+    assert one[400] == [] and two[400] == ["44) 771-9912"] and two[401] == []
+    base = lambda n: sorted((r["doc_id"], str(r["base"])) for r in pii.personal_data(df, turns=n).collect())
+    assert base(1) == base(3)
+
+
+def test_contexts_have_whole_words():
+    w = pii.Words("x " + "a" * 5000 + " b:7 " + "c" * 5000 + " d")
+    start = w.text.index("7")
+    assert w.contexts(start, start + 1) == ["1|b", "3|b|" + pii._word("c" * 5000), "2|" + pii._word("a" * 5000) + " b"]
+    assert pii._word("a" * 5000) != pii._word("a" * 5001)
+
+
 def test_pii_query_and_odd(spark, texts, odd, empty):
     for r in queries.op4_pii(spark, DIR).collect():
         base = plain_spans(texts[r["doc_id"]])
