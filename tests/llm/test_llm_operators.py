@@ -518,23 +518,62 @@ def test_simhash_odd(odd, empty):
 # 8 language
 
 
-def test_ppm_probabilities_sum_to_one():
-    m = langid.Ppm({g: langid.gram_counts([t] * 3) for g, t in (("en", "the cat sat on the mat"), ("fr", "le chat est là"))}, least=1)
-    p = np.exp2(-m.bits.reshape(-1, m.size, 2).astype(float))
-    seen = (m.symbol > 0).sum()
-    # Symbol 0 stands for each of the bytes that training never saw.
-    assert np.allclose(p[:, 1:].sum(axis=1) + (256 - seen) * p[:, 0], 1, atol=1e-5)
+def plain_bits(counts, context, byte, least):
+    """Bits of a byte after a context (bytes), by the definition: orders from the context's own down to none, with exclusion."""
+
+    def chance(ctx, b):
+        seen: dict[int, int] = {}
+        for g, n in counts.items():
+            if g[3 - len(ctx) : 3] == ctx:
+                seen[g[3]] = seen.get(g[3], 0) + n
+        shorter = (lambda x: 1 / 256) if not ctx else (lambda x: chance(ctx[1:], x))
+        if not seen or len(ctx) == 3 and sum(seen.values()) < least:
+            return shorter(b)
+        whole = sum(seen.values()) + len(seen)
+        if b in seen:
+            return seen[b] / whole
+        return len(seen) / whole * shorter(b) / max(1e-9, 1 - sum(shorter(x) for x in seen))
+
+    return -np.log2(chance(context, byte))
+
+
+@pytest.mark.parametrize("least", [1, 3])
+def test_ppm_code_lengths(least):
+    text = "the cat sat on the mat, the chat est là"
+    grams, n = langid.gram_counts([text] * 2)
+    own = langid.Context(grams, n, least)
+    counts = {int(g).to_bytes(4, "big"): int(k) for g, k in zip(grams, n)}
+    rng = random.Random(3)
+    runs = [*counts, *(bytes(rng.choice(b"theca \n\xc3z") for _ in range(4)) for _ in range(60))]
+    got = own.bits(np.array([int.from_bytes(r, "big") for r in runs], np.uint32))
+    assert np.allclose(got, [plain_bits(counts, r[:3], r[3], least) for r in runs], atol=1e-3)
+    for context in (b"the", b"zzz", b" ca"):
+        all_ = own.bits(np.array([int.from_bytes(context + bytes([b]), "big") for b in range(256)], np.uint32))
+        assert abs(np.exp2(-all_.astype(float)).sum() - 1) < 1e-4
 
 
 def test_ppm_lengths_equal_one_by_one():
     m = langid.Ppm({g: langid.gram_counts([t]) for g, t in (("en", "the cat sat on the mat"), ("fr", "le chat est là"))}, least=1)
-    texts = ["the chat", "", "là", "zzz" * 5, "x"]
-    cube = m.bits.reshape(-1, m.size, 2)
+    texts = ["the chat", "", "là", "zzz" * 5, "x", "the cat and le chat " * 40_000]
     want = []
     for t in texts:
-        s = [int(m.symbol[b]) for b in b"\n\n\n" + t.encode()]
-        want.append(sum((cube[m.state[(s[i - 3] * m.size + s[i - 2]) * m.size + s[i - 1]], s[i]] for i in range(3, len(s))), np.zeros(2)))
-    assert np.allclose(m.lengths(texts), want, atol=1e-3)
+        s = b"\n\n\n" + t.encode()
+        runs = np.array([int.from_bytes(s[i : i + 4], "big") for i in range(len(s) - 3)], np.uint32)
+        want.append(m.bits(runs).sum(axis=0, dtype=float) if len(runs) else np.zeros(2))
+    assert np.allclose(m.lengths(texts), want, rtol=1e-6, atol=1e-3)
+
+
+def test_many_languages_in_several_models(spark):
+    """Past the number of languages that one model holds, the result is that of one model."""
+    rng = random.Random(4)
+    words = {f"l{i:02d}": ["".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(12)] for i in range(30)}
+    rows = [(k, " ".join(rng.choice(w) for _ in range(30)), g) for k, (g, w) in enumerate((g, w) for g, w in words.items() for _ in range(4))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, several = langid.train(df), langid.train(df, languages=4)
+    assert one.parts == 1 and several.parts == 8
+    got, want = ({r["doc_id"]: r for r in langid.identify(df, m, ["doc_id", "lang"]).collect()} for m in (several, one))
+    assert all(got[k]["lang_pred"] == want[k]["lang_pred"] and abs(got[k]["score"] - want[k]["score"]) < 1e-6 for k in want)
+    assert sum(r["lang"] == r["lang_pred"] for r in got.values()) > 110
 
 
 def test_langid_held_out(spark):
