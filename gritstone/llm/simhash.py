@@ -45,9 +45,8 @@ def shingle_hashes(text: str | None, words: int = 4) -> np.ndarray:
     return np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts, ends[words - 1 :])), np.uint64, len(found) - words + 1)
 
 
-def fingerprint(text: str | None, words: int = 4) -> int:
-    """A bit is set if it is set in over half of the shingles' hashes."""
-    hashes = shingle_hashes(text, words)
+def majority(hashes: np.ndarray) -> int:
+    """A bit is set if it is set in over half of the hashes."""
     if not len(hashes):
         return 0
     counts = np.zeros(64, np.int64)
@@ -57,6 +56,11 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, words: int = 4) -> int:
+    """The majority of the shingles' hashes."""
+    return majority(shingle_hashes(text, words))
+
+
 def with_fingerprints(df: DataFrame, words: int = 4, text: str = "text", keep_columns: list[str] | None = None, out: str = "fp") -> DataFrame:
     """The kept columns and ``out``, the fingerprint as a signed long."""
     ship(df.sparkSession)
