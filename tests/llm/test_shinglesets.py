@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from gritstone.llm import shinglesets
@@ -43,10 +44,22 @@ def _documents(seed, families, copies, edits, base=None):
 @pytest.mark.parametrize("rows", [_documents(1, 60, 4, 6), _documents(2, 3, 60, 8), _documents(3, 60, 2, 3, [f"b{i}" for i in range(150)])], ids=["small", "large", "passage"])
 def test_one_of_each_against_all_pairs(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted(x["doc_id"] for x in shinglesets.one_of_each(docs, block=32).collect())
+    got = sorted(x["doc_id"] for x in shinglesets.one_of_each(docs, block=32, hot_sets=8).collect())
     assert got == _want(rows)
 
 
+def test_dealt_hashes_of_alike_sketches_meet():
+    rng = random.Random(5)
+    hot = np.array(sorted(rng.sample(range(500), 60)), np.int64)
+    for _ in range(3000):
+        pool = np.array(rng.sample(range(500), 60), np.int64)
+        size = rng.choice([shinglesets.SKETCH] * 3 + [1, 2, 4, 7, 20])
+        a, b = (np.sort(rng.sample(pool.tolist(), size)).astype(np.int64) for _ in range(2))
+        shared = len(np.intersect1d(a, b))
+        if shared >= (shinglesets.ALIKE if size == shinglesets.SKETCH else 0.8 * size):
+            assert len(np.intersect1d(shinglesets.dealt_hashes(a, hot), shinglesets.dealt_hashes(b, hot)))
+
+
 def test_pipeline_drops_copies_far_apart_in_bits(spark):
     """Ten of 500 words changed leave a similarity of about 0.82, and over 4 bits of a fingerprint between the two."""
     import corpus_pipeline
