@@ -23,13 +23,17 @@ def events(t: Tables) -> DataFrame:
     kind = _pick(TYPES, e * 13)
     qualifier = _pick(QUALIFIERS, e * 5)
     team = (e % 2 + 1).cast("int")
+    # A duel names the match's next event as its other side, an assisted shot the event before it.
+    linked = F.when(qualifier == 233, F.lead("event_id").over(order)).when(qualifier == 55, F.lag("event_id").over(order)).otherwise(e + 1)
+    qualified = lambda kind_, value: F.struct(F.struct(kind_.alias("value"), F.lit("q").alias("displayName")).alias("type"), value.cast("string").alias("value"))
+    opposite = F.when(kind.isin(4, 7, 44, 45, 50) & (qualifier != 233), qualified(F.lit(233), F.lead("event_id").over(order)))
     own = t.events.select(
         F.concat(F.lit("m"), F.col("user_id").cast("string")).alias("match_id"), team.alias("team_id"), (team * 100 + (e * 7) % 11).cast("int").alias("player_id"), e.cast("int").alias("event_id"), F.row_number().over(order).alias("row_num"),
         F.row_number().over(order).alias("expanded_minute"), (e % 60).cast("int").alias("second"), F.lit(1).alias("period"), kind.alias("type_id"), F.concat(F.lit("t"), kind.cast("string")).alias("type_name"),
         F.when(e % 3 == 0, 0).otherwise(1).alias("outcome_id"), kind.isin(13, 14, 15, 16).alias("is_shot"), (e % 4 != 0).alias("is_touch"), ((e * 31) % 1000 / 10.0).alias("x"), ((e * 17) % 1000 / 10.0).alias("y"),
         ((e * 37) % 1000 / 10.0).alias("end_x"), ((e * 41) % 1000 / 10.0).alias("end_y"), F.when(kind == 17, "Yellow").alias("card_type"), F.when(kind.isin(15, 16), (team * 100 + (e * 3) % 11).cast("int")).alias("related_player_id"),
         (45 + (e * 7) % 100 / 10.0).alias("goal_mouth_y"), ((e * 11) % 380 / 10.0).alias("goal_mouth_z"),
-        F.to_json(F.array(F.struct(F.struct(qualifier.alias("value"), F.lit("q").alias("displayName")).alias("type"), (e + 1).cast("string").alias("value")))).alias("qualifiers_json"),
+        F.to_json(F.array_compact(F.array(qualified(qualifier, linked), opposite))).alias("qualifiers_json"),
     )
     return own
 

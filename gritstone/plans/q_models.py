@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gritstone.models import events as ev
 from gritstone.models import gold, network, setpieces, team
-from gritstone.plans import match_log
+from gritstone.plans import match_log, model_sql
 from gritstone.plans.registry import Tables, query
 
 
@@ -38,17 +38,26 @@ def model_event_values(t: Tables) -> DataFrame:
     return match_log.stages(t)["values"].select("match_id", "row_num", "team_score", "opp_score", F.round("action_value", 5).alias("action_value"))
 
 
-@query("player_possession_chains W16 W19 W20 W21 D12")
+@query(
+    "player_possession_chains W16 W19 W20 W21 D12",
+    model_sql.typed("ch", "match_id string, row_num int, chain_id string, chain_number bigint, chain_team_id int, chain_trigger string, is_rupture int", "select * from ch"),
+)
 def model_possession_chains(t: Tables) -> DataFrame:
     return match_log.stages(t)["chains"].select("match_id", "row_num", "chain_id", "chain_number", "chain_team_id", "chain_trigger", "is_rupture")
 
 
-@query("player_passes_raw W14 P27")
+@query(
+    "player_passes_raw W14 P27",
+    model_sql.typed("pa", "match_id string, row_num int, passer_id int, receiver_id int, is_progressive boolean, is_creative boolean, is_buildup boolean", "select * from pa"),
+)
 def model_passes(t: Tables) -> DataFrame:
     return match_log.stages(t)["passes"].select("match_id", "row_num", "passer_id", "receiver_id", "is_progressive", "is_creative", "is_buildup")
 
 
-@query("player_network_passes player_network_centrality A12 T14")
+@query(
+    "player_network_passes player_network_centrality A12 T14",
+    model_sql.typed("ce", "match_id string, team_id int, player_id int, season string, league_source string, degree_out bigint, weighted_degree_out bigint, n_creative_out bigint, n_progressive_out bigint, degree_in bigint, weighted_degree_in bigint, pass_share double, creative_rate double, betweenness_proxy double", "select * from ce"),
+)
 def model_centrality(t: Tables) -> DataFrame:
     return network.centrality(network.pass_edges(match_log.stages(t)["passes"]))
 
@@ -58,37 +67,43 @@ def model_betweenness(t: Tables) -> DataFrame:
     return network.betweenness(network.pass_edges(match_log.stages(t)["passes"]))
 
 
-@query("team_network_features A10 A11 A17")
+@query("team_network_features A10 A11 A17", model_sql.team_network())
 def model_team_network(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     return network.team_network(network.centrality(network.pass_edges(s["passes"])), s["passes"])
 
 
-@query("player_network_duels J7")
+@query("player_network_duels J7", model_sql.duels())
 def model_duels(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     return ev.duels(s["enriched"], s["quals"])
 
 
-@query("player_xg_chain W23 W24")
+@query(
+    "player_xg_chain W23 W24",
+    model_sql.typed("xg", "match_id string, chain_id string, player_id int, position_in_chain int, chain_length bigint, position_weight double, chain_number bigint, chain_team_id int, season string, league_source string, shot_event_id int, shot_minute int, shot_type_id int, xg_proxy double, is_counter_attack boolean, is_shooter boolean, is_assister boolean, xgchain double, xgchain_weighted double, xgbuildup double, xgbuildup_weighted double", "select * from xg"),
+)
 def model_xg_chain(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     return network.xg_chain(s["chains"], s["values"], s["quals"])
 
 
-@query("threat_conceded")
+@query(
+    "threat_conceded",
+    model_sql.typed("th", "match_id string, chain_id string, player_id int, team_id int, position_in_chain int, chain_length bigint, position_weight double, is_keeper boolean, has_error_leading_to_goal boolean, chain_number bigint, chain_team_id int, xg_proxy double, season string, league_source string, shot_event_id int, is_penalty boolean, threat_conceded double, threat_conceded_weighted double", "select * from th"),
+)
 def model_threat_conceded(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     return network.threat_conceded(network.xg_chain(s["chains"], s["values"], s["quals"]), s["chains"], s["quals"])
 
 
-@query("player_zone_transitions U1 J11 W15 P28 A13")
+@query("player_zone_transitions U1 J11 W15 P28 A13", model_sql.zone_transitions())
 def model_zone_transitions(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     return network.zone_transitions(s["passes"], s["enriched"], s["quals"])
 
 
-@query("int_shot_placement P29 W22")
+@query("int_shot_placement P29 W22", model_sql.shot_placement())
 def model_shot_placement(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     return ev.shot_placement(s["enriched"], s["values"]).select("match_id", "row_num", "placement_zone", *(F.round(c, 5).alias(c) for c in ("offset_center", "corner_dist", "pre_shot_xg_proxy")))
@@ -106,7 +121,7 @@ def model_freekicks(t: Tables) -> DataFrame:
     return _rounded(setpieces.freekick_profiles(s["chains"], s["values"], s["quals"]))
 
 
-@query("player_match_stats A2 A3 A14 A15 A18 J19 P21")
+@query("player_match_stats A2 A3 A14 A15 A18 J19 P21", model_sql.player_match_stats())
 def model_player_match_stats(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     return _rounded(team.player_match_stats(s["events"], s["quals"], s["index"]))
