@@ -39,6 +39,37 @@ STAGES = {
         round(degree_out * coalesce(i, 0) / nullif(count(*) over t * (count(*) over t - 1), 0), 4) as betweenness_proxy from deg a left join deg_in using (match_id, team_id, player_id) window t as (partition by match_id, team_id)""",
     "va": """select *, case when type_id = 16 then 1.0 when q = 170 then 0.9 when q = 11113 then 0.65 when q = 210 then 0.55 when type_id = 15 then 0.4 when type_id in (13, 14) then 0.1 when type_id = 3 and outcome_id = 1 then 0.3
         when type_id = 42 then 0.25 when type_id = 3 then 0.05 else 0.0 end::double as xg_proxy from en""",
+    "ax": """select *, case when type_id in (1, 3, 13, 14, 15, 16, 42) then x / 100 when type_id in (7, 8, 12, 45, 49, 74) or (type_id in (44, 4, 50) and q = 285) then (100 - x) / 100 when type_id in (44, 4, 50) and q = 286 then x / 100 end as danger,
+        case when type_id in (7, 8, 12, 49, 74) and outcome_id = 1 then 1.0 when type_id = 45 then 0.6 when type_id in (7, 8, 12, 49, 74) then 0.3 when type_id in (44, 4, 50) and q = 285 and outcome_id = 1 then 1.0 when type_id in (44, 4, 50) and q = 285 then 0.3 end::double as exec,
+        0.5 + 0.3 * (case when type_id in (44, 4, 45, 50, 7) then least(1.0, 0.8 + deep) when has_opposite_event then least(1.0, 0.6 + deep) else deep end) + 0.2 * (case when row_num >= 75 and team_score < opp_score then 1.0 when row_num >= 75 and team_score > opp_score then 0.85
+        when row_num >= 75 and team_score > 0 then 0.75 when row_num >= 75 then 0.6 when team_score < opp_score then 0.7 when team_score = opp_score and team_score > 0 then 0.5 when team_score > opp_score then 0.4 else 0.3 end::double) as weight
+        from (select *, case when x < 50 then 0.2 else 0.0 end::double as deep from va)""",
+    "av": """select match_id, row_num, case when type_id in (1, 3, 13, 14, 15, 16, 42) or (type_id in (44, 4, 50) and q = 286 and q <> 285) then sqrt(danger * xg_proxy) * weight
+        when type_id in (7, 8, 12, 45, 49, 74) or (type_id in (44, 4, 50) and q = 285) then danger * exec * weight end as action_value from ax""",
+    "ow": """select ch.*, av.action_value, first_value(case when cp is not null then x end ignore nulls) over (partition by match_id order by row_num rows between 1 following and unbounded following) as coming_x from ch left join av using (match_id, row_num)""",
+    "da": """select match_id, chain_id, last_shot, sum(action_value) as chain_danger_total, case when last_shot is not null then sum(case when row_num < last_shot then action_value end) / nullif(sum(action_value), 0) end as chain_danger_momentum,
+        max(case when row_num = last_shot then type_id end) as shot_type, max(case when row_num = last_shot then case q when 15 then 'head' when 20 then 'right_foot' when 72 then 'left_foot' when 21 then 'other' end end) as shot_body_part
+        from (select *, max(case when is_shot then row_num end) over (partition by match_id, chain_id) as last_shot from ow where team_id = chain_team_id) group by 1, 2, 3""",
+    "cl": """select match_id, chain_id, player_id as clearance_player_id, case when q in (15, 21) then q = 15 end as is_headed_clearance,
+        case when coming = team_id then 'perfect' when coming is not null then case when coming_x >= 83 then 'failed' when coming_x >= 75 then 'poor' else 'good' end end as clearance_quality
+        from ow where type_id = 12 and team_id <> chain_team_id qualify row_number() over (partition by match_id, chain_id order by row_num) = 1""",
+    "co": """select f.match_id, f.chain_team_id as team_id, f.player_id as corner_taker_id, f.row_num as corner_row_num, f.expanded_minute, case when f.y < 50 then 'right' else 'left' end as corner_side,
+        case when f.end_x < 83 then 'short' when f.end_y between 45 and 55 then 'center' when (f.y < 50 and f.end_y < 45) or (f.y >= 50 and f.end_y > 55) then 'near_post' else 'far_post' end as landing_zone, n_aerial_duels, shot_body_part,
+        clearance_player_id, clearance_quality, is_headed_clearance, case when shot_type = 16 then 'goal' when shot_type = 15 then 'shot_saved' when shot_type in (13, 14) then 'shot_off_target' when cleared then 'clearance' else 'retained' end as outcome,
+        chain_danger_total, chain_danger_momentum
+        from (select * from ow where chain_trigger = 'corner' qualify row_number() over (partition by match_id, chain_id order by row_num) = 1) f
+        join (select match_id, chain_id, count_if(type_id = 44) as n_aerial_duels, bool_or(type_id = 12) as cleared from ow group by 1, 2) n using (match_id, chain_id) left join da using (match_id, chain_id) left join cl using (match_id, chain_id)""",
+    "fk": """select b.*, x * 1.05 as x_m, y * 0.68 as y_m, chain_danger_total, chain_danger_momentum, null as shot_body_part, null as clearance_player_id, null as is_headed_clearance, null as clearance_quality,
+        sqrt(pow(105 - x * 1.05, 2) + pow(34 - y * 0.68, 2)) as distance_to_goal, acos(greatest(-1.0, least(1.0, (pow(105 - x * 1.05, 2) + (30.34 - y * 0.68) * (37.66 - y * 0.68)) / nullif(sqrt(pow(105 - x * 1.05, 2) + pow(30.34 - y * 0.68, 2))
+        * sqrt(pow(105 - x * 1.05, 2) + pow(37.66 - y * 0.68, 2)), 0)))) as angle from (
+        select match_id, chain_id, chain_number, chain_team_id, player_id as freekick_taker_id, row_num, event_id, expanded_minute, second, type_id, outcome_id, x, y, 'direct' as fk_type, false as is_offside, 'direct_shot' as fk_zone_type,
+        case type_id when 16 then 'goal' when 15 then 'shot_saved' else 'shot_off_target' end as outcome from ow where chain_trigger = 'free_kick' and is_shot and q = 26
+        union all select o.match_id, o.chain_id, chain_number, chain_team_id, player_id, row_num, event_id, expanded_minute, second, type_id, outcome_id, x, y, 'short_pass', type_id = 2, case when x < 17 then 'own_box' else 'too_far' end,
+        case when type_id = 2 then 'offside' when shot = 16 then 'goal' when shot = 15 then 'shot_saved' when shot in (13, 14) then 'shot_off_target' when last_ok = 1 and last_type = 4 then 'foul_won' when last_ok = 1 and last_type = 6 then 'corner_won'
+        when last_ok = 1 and last_type in (1, 3, 61) then 'open_play' else 'turnover' end from ow o
+        left join (select match_id, chain_id, arg_max(type_id, row_num) filter (is_shot) as shot, arg_max(type_id, row_num) as last_type, arg_max(outcome_id, row_num) as last_ok from ch where team_id = chain_team_id group by 1, 2) l on l.match_id = o.match_id and l.chain_id = o.chain_id
+        where chain_trigger = 'free_kick' and type_id in (1, 2) and q = 5) b left join da using (match_id, chain_id)""",
+    "bb": """select distinct match_id, s.t as team_id, 3 - s.t as opponent_id, match_date as date, season, league_source from ev, (values (1), (2)) s(t)""",
     "sh": """select match_id, chain_id, chain_number, chain_team_id, season, league_source, player_id as shooter, event_id as shot_event_id, expanded_minute as shot_minute, type_id as shot_type_id, xg_proxy, earlier as assist_event, q as shot_q
         from ch join (select match_id, row_num, xg_proxy from va) using (match_id, row_num) where is_shot and team_id = chain_team_id qualify row_number() over (partition by match_id, chain_id order by row_num desc) = 1""",
     "xg": """select p.*, s.* exclude (match_id, chain_id, shooter, assist_event, shot_q), a.player_id as assister, p.player_id = shooter as is_shooter, coalesce(p.player_id = a.player_id, false) as is_assister, c.chain_id is not null as is_counter_attack,
@@ -57,7 +88,7 @@ _ORDER = list(STAGES)
 #: What each stage reads.
 _READS = {
     "ev": "raw", "qu": "ev", "sc": "ev", "en": "sc", "ch0": "en", "ch1": "ch0", "ch2": "ch1", "ch3": "ch2", "ch4": "ch3", "ch5": "ch4", "ch": "ch5", "pa0": "ch", "pa": "pa0", "ed": "pa", "deg": "ed", "deg_in": "ed", "ce": "deg deg_in", "va": "en",
-    "sh": "ch va", "xg": "ch sh", "th": "ch sh",
+    "sh": "ch va", "xg": "ch sh", "th": "ch sh", "ax": "va", "av": "ax", "ow": "ch av", "da": "ow", "cl": "ow", "co": "ow da cl", "fk": "ow da ch", "bb": "ev",
 }
 
 
@@ -160,3 +191,96 @@ def shot_placement() -> str:
         case when on_ then round(abs(goal_mouth_y - 50), 5) end as offset_center, case when on_ then round(least({corner.format('goal_mouth_y - 45.2')}, {corner.format('54.8 - goal_mouth_y')}), 5) end as corner_dist, round(xg_proxy, 5) as pre_shot_xg_proxy
         from (select *, type_id in (15, 16) as on_ from va where is_shot)""",
     )
+
+
+_CORNER = (
+    "match_id string, team_id int, corner_taker_id int, corner_row_num int, expanded_minute int, corner_side string, landing_zone string, n_aerial_duels bigint, shot_body_part string, clearance_player_id int, clearance_quality string, is_headed_clearance boolean, "
+    "outcome string, chain_danger_total double, chain_danger_momentum double"
+)
+_KICK = (
+    "match_id string, chain_id string, chain_number bigint, chain_team_id int, freekick_taker_id int, row_num int, event_id int, expanded_minute int, second int, type_id int, outcome_id int, x double, y double, fk_type string, is_offside boolean, fk_zone_type string, "
+    "outcome string, chain_danger_total double, chain_danger_momentum double, shot_body_part string, clearance_player_id int, is_headed_clearance boolean, clearance_quality string, x_m double, y_m double, distance_to_goal double, angle double"
+)
+
+
+def rounded(stages: str, columns: str, body: str, places: int = 5) -> str:
+    """As ``typed``, with doubles rounded."""
+    casts = ", ".join(f"round({c}::double, {places}) as {c}" if k == "double" else f"{c}::{_TYPES[k]} as {c}" for c, k in (x.split() for x in columns.split(",")))
+    return on(stages, f"select {casts} from ({body})")
+
+
+def corner_profiles() -> str:
+    return rounded("co", _CORNER, "select * from co")
+
+
+def freekick_profiles() -> str:
+    return rounded("fk", _KICK, "select * from fk")
+
+
+_COUNTS = """count_if(outcome in ('goal', 'shot_saved', 'shot_off_target')) as n_dangerous, count_if(outcome = 'goal') as n_goals, sum(chain_danger_total) as sum_danger, count_if(shot_body_part = 'head') as n_headed_shots,
+    count_if(outcome = 'goal' and shot_body_part = 'head') as n_headed_goals, count(clearance_quality) as n_clearances, count_if(clearance_quality in ('poor', 'failed')) as n_clearances_bad, count_if(is_headed_clearance) as n_clearances_headed,
+    count(is_headed_clearance) as n_clearances_bodypart_known"""
+_COUNTED = "n_dangerous n_goals sum_danger n_headed_shots n_headed_goals n_clearances n_clearances_bad n_clearances_headed n_clearances_bodypart_known"
+
+
+def _rolling(stage: str, counts: str, counted: str, sums: dict[str, str], ratios: dict[str, tuple[str, str]]) -> str:
+    """Sums and ratios of sums over the 3, 5 and 10 matches before, of both sides' counts; 0 where the match has none."""
+    cols = counted.split()
+    sides = ", ".join(f"coalesce({a}.{c}, 0) as {c}_{side}" for a, side in (("f", "for"), ("g", "against")) for c in cols)
+    frame = "over (partition by team_id, season, league_source order by date, match_id rows between {} preceding and 1 preceding)"
+    out = {f"{name}_{n}": f"(sum({c}) {frame.format(n)})::bigint" for n in (3, 5, 10) for name, c in sums.items()}
+    out |= {f"{name}_{n}": f"round((sum({a}) {frame.format(n)})::double / nullif(sum({b}) {frame.format(n)}, 0), 5)" for n in (3, 5, 10) for name, (a, b) in ratios.items()}
+    body = f"select match_id, team_id::integer as team_id, date, season, league_source, {', '.join(f'{e} as {c}' for c, e in out.items())} from base"
+    base = f"select bb.*, {sides} from bb left join cnt f on f.match_id = bb.match_id and f.team_id = bb.team_id left join cnt g on g.match_id = bb.match_id and g.team_id = bb.opponent_id"
+    return on(f"{stage} bb", f"select * from (with cnt as ({counts}), base as ({base}) {body})")
+
+
+def rolling_corners() -> str:
+    from gritstone.models.setpieces import _shared
+
+    ratios = _shared("corner", "n_corners") | {f"corner_short_rate_{s}": (f"n_short_{s}", f"n_corners_{s}") for s in ("for", "against")}
+    counts = f"select match_id, team_id, count(*) as n_corners, {_COUNTS}, count_if(landing_zone = 'short') as n_short from co group by 1, 2"
+    return _rolling("co", counts, f"n_corners {_COUNTED} n_short", {f"corners_{s}": f"n_corners_{s}" for s in ("for", "against")}, ratios)
+
+
+def rolling_freekicks() -> str:
+    from gritstone.models.setpieces import _shared
+
+    ratios = _shared("freekick", "n_freekicks")
+    for s in ("for", "against"):
+        ratios |= {f"freekick_direct_{m}_avg_{s}": (f"sum_direct_{m}_{s}", f"n_direct_{s}") for m in ("distance", "angle")}
+        ratios |= {f"freekick_zone_{z}_rate_{s}": (f"n_zone_{z}_{s}", f"n_total_{s}") for z in ("direct", "crossed")}
+    own = f"select match_id, chain_team_id, count(*) as n_freekicks, {_COUNTS}, count(*) as n_direct, sum(distance_to_goal) as sum_direct_distance, sum(angle) as sum_direct_angle from fk where fk_zone_type in ('crossed', 'direct_shot') group by 1, 2"
+    zones = "select match_id, chain_team_id, count(*) as n_total, count_if(fk_zone_type = 'direct_shot') as n_zone_direct, 0 as n_zone_crossed from fk group by 1, 2"
+    counts = f"select *, chain_team_id as team_id from ({zones}) left join ({own}) using (match_id, chain_team_id)"
+    return _rolling("fk", counts, f"n_total n_zone_direct n_zone_crossed n_freekicks {_COUNTED} n_direct sum_direct_distance sum_direct_angle", {f"freekicks_{s}": f"n_freekicks_{s}" for s in ("for", "against")}, ratios)
+
+
+def team_features() -> str:
+    six, box = "x > 94 and y between 36 and 64", "x > 83 and y between 21 and 79"
+    lanes = {"left": "y < 33.3", "center": "y >= 33.3 and y <= 66.6", "right": "y > 66.6"}
+    back = "type_id in (7, 8, 12)"
+    n = {
+        "touches": "is_touch", "shots": "is_shot", "passes": "type_id = 1", "high_touch": "is_touch and x > 66", "deep": "type_id = 1 and outcome_id = 1 and end_x > 83", "high_loss": "type_id = 1 and outcome_id = 0 and x > 66",
+        "offence": "x > 66 and type_id in (1, 3, 13, 15, 16)", **{f"lane_{a}": f"is_touch and x > 33 and {c}" for a, c in lanes.items()}, "lanes": "is_touch and x > 33", "z_def": "is_touch and x < 33.3",
+        "z_mid": "is_touch and x >= 33.3 and x <= 66.6", "z_att": "is_touch and x > 66.6", "s_six": f"is_shot and {six}", "s_pen": f"is_shot and {box} and not ({six})", "s_oob": f"is_shot and not ({box})", "goals": "type_id = 16 and outcome_id = 1",
+        "mid": "x between 33 and 66 and type_id in (1, 7, 8) and outcome_id = 1", "d": back, "d_l": f"{back} and y < 30", "d_l_ok": f"{back} and y < 30 and outcome_id = 1", "d_r": f"{back} and y > 70", "d_r_ok": f"{back} and y > 70 and outcome_id = 1",
+        "counter": "is_shot and q = 26", "set_": "q in (5, 6) and x > 50", "open": "is_shot and q = 22", "fast": "is_shot and q = 23", "pen": "is_shot and q = 9", "crosses": "type_id = 1 and q = 2", "through": "type_id = 1 and q = 155", "longs": "type_id = 1 and q = 1",
+    }
+    share = lambda a, b: f"case when {b} > 0 then ({a}) / {b} end"
+    out = {
+        "field_tilt_actions": share("high_touch", "touches"), "high_turnover_rate": share("high_loss", "passes"), "deep_completion_rt": share("deep", "passes"), "momentum_delta": "momentum_delta", "counter_shot_rate": share("counter", "shots"),
+        "set_piece_pressure": share("set_", "offence"), **{f"attack_{a}_pct": share(f"lane_{a}", "lanes") for a in lanes}, **{f"zone_{a}_pct": share(f"z_{a}", "touches") for a in ("def", "mid", "att")}, "shot_six_yard_pct": share("s_six", "shots"),
+        "shot_penalty_pct": share("s_pen", "shots"), "shot_oob_pct": share("s_oob", "shots"), "shot_open_play_pct": share("open", "shots"), "shot_set_piece_pct": share("fast", "shots"), "shot_penalty_att_pct": share("pen", "shots"),
+        "conversion_rate": share("goals", "shots"), "cross_rate": share("crosses", "passes"), "through_ball_rate": share("through", "passes"), "long_ball_rate": share("longs", "passes"), "short_pass_rate": share("passes - crosses - through - longs", "passes"),
+        **{f"def_exposed_{a}_pct": share(f"o_{a}", "o_lanes") for a in lanes}, "counter_attack_dna": "counter_attack_dna", "midfield_control_idx": "mid / nullif(sum(mid) over (partition by match_id), 0)",
+        "defensive_line_height": "case when d >= 5 then d_x end", "flank_exposure_asymm": "case when d >= 5 and d_l > 0 and d_r > 0 then d_l_ok / d_l - d_r_ok / d_r end",
+    }
+    body = f"""with b as (select match_id, team_id, {', '.join(f'count_if({c})::bigint as {a}' for a, c in n.items())}, avg(case when {back} then x end) as d_x from ev group by 1, 2),
+        o as (select b.match_id, b.team_id, sum(x.lanes) as o_lanes, {', '.join(f'sum(x.lane_{a}) as o_{a}' for a in lanes)} from b join b x on x.match_id = b.match_id and x.team_id <> b.team_id group by 1, 2),
+        m as (select match_id, team_id, avg(post / nullif(pre, 0)) as momentum_delta from (select e.match_id, e.team_id, g.row_num as g, count_if(e.row_num < g.row_num) as pre, count_if(e.row_num > g.row_num) as post from ev e
+        join ev g on g.match_id = e.match_id and g.type_id = 16 and g.outcome_id = 1 and g.team_id <> e.team_id and e.row_num between g.row_num - 10 and g.row_num + 10 group by 1, 2, 3) group by 1, 2),
+        c as (select match_id, team_id, count(distinct case when won > 0 then at_ end) / count(*) as counter_attack_dna from (select *, sum(case when type_id = 49 then 1 else 0 end) over (partition by match_id, team_id order by at_ range between 15 preceding and 1 preceding) as won
+        from (select *, expanded_minute * 60 + second as at_ from ev)) where is_shot group by 1, 2)
+        select match_id, team_id, {', '.join(f'{e} as ws_{a}' for a, e in out.items())} from b left join o using (match_id, team_id) left join m using (match_id, team_id) left join c using (match_id, team_id)"""
+    return rounded("ev", "match_id string, team_id int, " + ", ".join(f"ws_{a} double" for a in out), body)

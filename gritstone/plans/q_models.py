@@ -109,13 +109,13 @@ def model_shot_placement(t: Tables) -> DataFrame:
     return ev.shot_placement(s["enriched"], s["values"]).select("match_id", "row_num", "placement_zone", *(F.round(c, 5).alias(c) for c in ("offset_center", "corner_dist", "pre_shot_xg_proxy")))
 
 
-@query("corner_profiles P31 J12 A7")
+@query("corner_profiles P31 J12 A7", model_sql.corner_profiles())
 def model_corners(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     return _rounded(setpieces.corner_profiles(s["chains"], s["values"], s["quals"]))
 
 
-@query("freekick_profiles P30 P32")
+@query("freekick_profiles P30 P32", model_sql.freekick_profiles())
 def model_freekicks(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     return _rounded(setpieces.freekick_profiles(s["chains"], s["values"], s["quals"]))
@@ -127,7 +127,7 @@ def model_player_match_stats(t: Tables) -> DataFrame:
     return _rounded(team.player_match_stats(s["events"], s["quals"], s["index"]))
 
 
-@query("team_features_ws J6 J13 J14 A5 A6")
+@query("team_features_ws J6 J13 J14 A5 A6", model_sql.team_features())
 def model_team_features(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     return _rounded(team.team_features(s["events"], s["quals"]))
@@ -170,14 +170,14 @@ def model_features_rolling(t: Tables) -> DataFrame:
     return _rounded(r.select("match_id", "team_id", "days_since_last_match", *cols, "draw_rate_3"))
 
 
-@query("rolling_corners J35 W5")
+@query("rolling_corners J35 W5", model_sql.rolling_corners())
 def model_rolling_corners(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     b = _event_backbone(s)
     return _rounded(setpieces.rolling_corners(b, s["chains"], setpieces.corner_profiles(s["chains"], s["values"], s["quals"]).cache()))
 
 
-@query("rolling_freekicks J35 W5")
+@query("rolling_freekicks J35 W5", model_sql.rolling_freekicks())
 def model_rolling_freekicks(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     b = _event_backbone(s)

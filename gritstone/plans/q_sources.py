@@ -58,13 +58,13 @@ def slot_lookup(t: Tables) -> DataFrame:
     return e.select("vec_id", F.col("place").cast("long").alias("place"), "slot", F.round(F.get("embedding", (F.col("slot") - 1).cast("int")).cast("double"), 5).alias("position"))
 
 
-@query("S4 S5 S8")
+@query("")
 def html_extract(t: Tables) -> DataFrame:
     """Title, links and words of each page, by a parser in batches."""
     return html.outlines(t.pages)
 
 
-@query("S18 S19", "select page_id, regexp_extract(url, '^https?://([^/]+)', 1) as host, regexp_extract(url, '^https?://[^/]+/([a-z]{2})/', 1) as lang, try_cast(nullif(regexp_extract(url, '[?&]page=(\\d+)', 1), '') as integer) as page from pages")
+@query("S18", "select page_id, regexp_extract(url, '^https?://([^/]+)', 1) as host, regexp_extract(url, '^https?://[^/]+/([a-z]{2})/', 1) as lang, try_cast(nullif(regexp_extract(url, '[?&]page=(\\d+)', 1), '') as integer) as page from pages")
 def path_metadata(t: Tables) -> DataFrame:
     u = F.col("url")
     part = lambda p: F.coalesce(scan.path_part(p, path=u), F.lit(""))
@@ -114,7 +114,7 @@ def update_from(t: Tables) -> DataFrame:
     return sinks.flagged(out, big, ["c_custkey"], "is_done")
 
 
-@query("I1 I5 I8", "select o_orderkey from orders where o_orderdate > (select max(o_orderdate) from orders where year(o_orderdate) < 1997)")
+@query("I1 I5", "select o_orderkey from orders where o_orderdate > (select max(o_orderdate) from orders where year(o_orderdate) < 1997)")
 def incr_watermark(t: Tables) -> DataFrame:
     loaded = t.orders.where("year(o_orderdate) < 1997")
     return incremental.above_watermark(t.orders, loaded, "o_orderdate").select("o_orderkey")

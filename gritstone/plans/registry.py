@@ -11,7 +11,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 #: Query name to the inventory ids it covers.
 COVERS: dict[str, str] = {}
-_MODULES = ("q_windows", "q_joins", "q_aggs", "q_scalars", "q_sources", "q_quality", "q_decision", "q_models")
+_MODULES = ("q_windows", "q_joins", "q_aggs", "q_scalars", "q_sources", "q_quality", "q_decision", "q_io", "q_identity", "q_models")
 _loaded = False
 
 

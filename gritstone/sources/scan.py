@@ -87,3 +87,10 @@ def subset(spark: SparkSession, source: str, target: str, predicates: Mapping[st
         spark.read.parquet(f"{source}/{name}").where(predicate).write.mode("overwrite").parquet(f"{target}/{name}")
         out[name] = spark.read.parquet(f"{target}/{name}")
     return out
+
+
+def register(spark: SparkSession, name: str, table) -> DataFrame:
+    """An Arrow table or pandas frame of the driver as a relation with a name for SQL."""
+    out = spark.createDataFrame(table)
+    out.createOrReplaceTempView(name)
+    return out

@@ -15,19 +15,38 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace(df: DataFrame, path: str) -> DataFrame:
-    """Write beside the table, then put the new version in its place; ``df`` may read the table itself."""
+    """Write beside the table, then put the new version in its place; ``df`` may read the table itself.
+
+    The old version is moved aside first and deleted last. If the new one cannot take its place, the old one is moved back; after a crash
+    between the two moves, it stands beside the path under a name that ends in ``.old``.
+    """
     spark = df.sparkSession
     new = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     df.write.parquet(new)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    a, b = hadoop.Path(new), hadoop.Path(path)
+    a, b, old = hadoop.Path(new), hadoop.Path(path), hadoop.Path(f"{new}.old")
     fs = b.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(b, True)
-    fs.rename(a, b)
+    had = fs.exists(b)
+    if had and not fs.rename(b, old):
+        fs.delete(a, True)
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(a, b):
+        if had:
+            fs.rename(old, b)
+        raise OSError(f"cannot put the new version of {path} in place")
+    if had:
+        fs.delete(old, True)
     spark.catalog.refreshByPath(path)
     return spark.read.parquet(path)
 
 
+def stage(df: DataFrame, path: str, name: str) -> DataFrame:
+    """CREATE TEMP TABLE AS: the result written once, and a view of that name on it."""
+    out = replace(df, path)
+    out.createOrReplaceTempView(name)
+    return out
+
+
 def partitioned(df: DataFrame, path: str, keys: Sequence[str], force: bool = False) -> None:
     """A folder for each key; keys that are there already are left alone unless forced."""
     spark = df.sparkSession

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gritstone.sources.sinks import exists, merged_insert, merged_replace, replace
@@ -28,6 +28,22 @@ def unseen_results(compute: Callable[[DataFrame], DataFrame], source: DataFrame,
     return unseen(compute(source), target, keys)
 
 
+def resume(source: DataFrame, done: DataFrame, keys: Sequence[str], skip_existing: bool = False, missing: str | None = None, only: Column | None = None, most: int | None = None) -> DataFrame:
+    """The rows that an interrupted load still has to process.
+
+    ``skip_existing`` leaves out keys that ``done`` has; ``missing`` leaves out only those whose column of that name is filled there.
+    ``only`` is a predicate such as a season; ``most`` takes so many keys, the smallest first.
+    """
+    out = source if only is None else source.where(only)
+    if missing is not None:
+        out = unseen(out, done.where(F.col(missing).isNotNull()), keys)
+    elif skip_existing:
+        out = unseen(out, done, keys)
+    if most is not None:
+        out = out.join(out.select(*keys).distinct().orderBy(*keys).limit(most), list(keys), "left_semi")
+    return out
+
+
 def refresh(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], compute: Callable[[DataFrame], DataFrame] = lambda df: df, full: bool = False, mode: str = "keys", mark: str | None = None) -> DataFrame:
     """Bring a stored table up to date.
 
