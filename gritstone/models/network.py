@@ -53,7 +53,8 @@ def team_network(centrality: DataFrame, passes: DataFrame) -> DataFrame:
         F.round(entropy(F.col("pass_share")), 4).alias("network_entropy"),
     )
     net = net.withColumn("network_density", F.round(F.col("n_edges") / F.nullif(F.col("n_players") * (F.col("n_players") - 1), F.lit(0)), 4))
-    mean = lambda c, name, p=None: F.round(F.avg(F.col(c) if p is None else F.when(p, F.col(c))), 2).alias(name)
+    exact = lambda c: F.col(c).cast("decimal(9,4)")  # noqa: E731  (a mean that doesn't depend on the order of rows)
+    mean = lambda c, name, p=None: F.round(F.avg(exact(c) if p is None else F.when(p, exact(c))), 2).cast("double").alias(name)
     fwd = F.col("is_progressive")
     place = passes.groupBy(*TEAM).agg(mean("x", "centroid_x"), mean("y", "centroid_y"), mean("x", "centroid_x_progressive", fwd), mean("y", "centroid_y_progressive", fwd))
     return net.join(place, TEAM, "left")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from gritstone.models import events as ev
 from gritstone.plans.registry import Tables
+from gritstone.sources import sinks
+from gritstone.sources.store import fresh_folder
 
 # Event types and qualifiers that the log's rows take in turn.
 TYPES = (1, 1, 1, 1, 1, 1, 1, 3, 4, 7, 8, 12, 13, 15, 16, 41, 44, 45, 49, 61, 1, 1, 44, 17)
@@ -48,30 +50,43 @@ def index(t: Tables) -> DataFrame:
 
 
 _STAGES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_FOLDERS: dict[tuple[str, str], str] = {}
 
 
 def stages(t: Tables) -> dict[str, DataFrame]:
-    """The event models' inputs and first results. What several models read is kept, as each node of the dataflow is a table of its own."""
+    """The event models' inputs and first results, each node of the dataflow a written table; written anew if its folder is gone."""
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
-    if key not in _STAGES:
-        e = events(t)
-        q = ev.qualifiers(e)
-        rich = ev.enriched(e, q, index(t))
-        chains = ev.possession_chains(rich, q)
-        _STAGES[key] = {"events": e, "quals": q, "index": index(t), "enriched": rich, "values": ev.values(rich), "chains": chains, "passes": ev.passes(chains)}
-    for name, df in _STAGES[key].items():
-        if name != "index" and not (df.storageLevel.useMemory or df.storageLevel.useDisk):
-            df.cache()
+    if key not in _STAGES or not sinks.exists(t.spark, f"{_FOLDERS[key]}/passes"):
+        folder = _FOLDERS[key] = fresh_folder(t.spark)
+        kept = lambda name, df: sinks.replace(df, f"{folder}/{name}")
+        e = kept("events", events(t))
+        q = kept("quals", ev.qualifiers(e))
+        rich = kept("enriched", ev.enriched(e, q, index(t)))
+        chains = kept("chains", ev.possession_chains(rich, q))
+        _STAGES[key] = {"events": e, "quals": q, "index": index(t), "enriched": rich, "values": kept("values", ev.values(rich)), "chains": chains, "passes": kept("passes", ev.passes(chains))}
     return _STAGES[key]
 
 
 def backbone(t: Tables) -> DataFrame:
     """Two rows for each order: the customer at home, another one away."""
     o = F.col("o_orderkey")
-    base = t.orders.select(
+    return _two_sides(t.orders.select(
         F.concat(F.lit("o"), o.cast("string")).alias("match_id"), F.to_date("o_orderdate").alias("date"), F.concat_ws("-", F.year("o_orderdate").cast("string"), (F.year("o_orderdate") + 1).cast("string")).alias("season"),
         F.concat(F.lit("L"), (F.col("o_custkey") % 2).cast("string")).alias("league_source"), (F.col("o_custkey") % 20).cast("long").alias("h"), ((F.col("o_custkey") + o) % 19 + 20).cast("long").alias("a"), (o % 4).cast("int").alias("hg"), (o % 3).cast("int").alias("ag"), o.alias("k"),
-    )
+    ))
+
+
+def event_backbone(t: Tables) -> DataFrame:
+    """Two rows for each match of the event log, in the same columns."""
+    u = F.col("user_id")
+    number = lambda c: c.cast("int")
+    return _two_sides(t.events.select("user_id").distinct().join(index(t).select("match_id", "match_date", "season", "league_source"), F.concat(F.lit("m"), u.cast("string")) == F.col("match_id")).select(
+        "match_id", F.col("match_date").alias("date"), "season", "league_source", F.lit(1).alias("h"), F.lit(2).alias("a"), number(u % 4).alias("hg"), number(u % 3).alias("ag"), u.alias("k"),
+    ))
+
+
+def _two_sides(base: DataFrame) -> DataFrame:
+    """Both sides' rows of matches (match_id, date, season, league_source, h, a, hg, ag, k), with facts by plain arithmetic on k."""
     result = F.when(F.col("hg") > F.col("ag"), "H").when(F.col("hg") < F.col("ag"), "A").otherwise("D")
     side = lambda team, other, venue, gf, ga, s: base.select(
         "match_id", F.col(team).alias("team_id"), F.col(other).alias("opponent_id"), "date", F.lit(venue).alias("venue"), "season", "league_source", F.lit("Big5").alias("comp_category"), result.alias("result_1n2"),

@@ -111,9 +111,13 @@ def typed(stages: str, columns: str, body: str) -> str:
     return on(stages, f"select {casts} from ({body})")
 
 
-def cells(condition: str, prefix: str = "") -> list[str]:
+def _r(e: str, places: int | None) -> str:
+    return e if places is None else f"round({e}, {places})"
+
+
+def cells(condition: str, prefix: str = "", places: int | None = 5) -> list[str]:
     return [
-        f"round(avg(case when {condition} and x >= {20 * i} and x < {20 * i + 20} and y >= {20 * j} and y < {20 * j + 20} then 1.0 else 0.0 end), 5) as {prefix}pct_z{i + 1}_c{j + 1}" for i in range(5) for j in range(5)
+        _r(f"avg(case when {condition} and x >= {20 * i} and x < {20 * i + 20} and y >= {20 * j} and y < {20 * j + 20} then 1.0 else 0.0 end)", places) + f" as {prefix}pct_z{i + 1}_c{j + 1}" for i in range(5) for j in range(5)
     ]
 
 
@@ -127,23 +131,58 @@ _ACTIONS = {
 _STATES = {"blank": "a = 0 and b = 0", "drawing": "a = b and a > 0", "winning": "a > b", "losing": "a < b"}
 
 
-def player_match_stats() -> str:
-    cols = ["count(*) as n_actions"] + [f"count_if(coalesce({c}, false))::bigint as {n}" for n, c in _ACTIONS.items()] + cells("is_touch")
+def _player_stats(places: int | None) -> str:
+    cols = ["count(*) as n_actions"] + [f"count_if(coalesce({c}, false))::bigint as {n}" for n, c in _ACTIONS.items()] + cells("is_touch", "", places)
     shots = "coalesce(avg(case when is_shot then {} end), 0)"
     cols += [
-        f"round(case when count_if(is_shot) > 0 then count_if(is_shot) / (1 + sqrt(pow(100 - {shots.format('x')}, 2) + pow(50 - {shots.format('y')}, 2))) else 0.0 end, 5) as xg_contribution",
-        "round(avg(case when type_id in (7, 8, 12, 45, 49) then x end), 5) as defensive_zone_x", "round(count_if(type_id = 44 and outcome_id = 1) / nullif(count_if(type_id = 44), 0), 5) as aerial_win_rate",
+        _r(f"case when count_if(is_shot) > 0 then count_if(is_shot) / (1 + sqrt(pow(100 - {shots.format('x')}, 2) + pow(50 - {shots.format('y')}, 2))) else 0.0 end", places) + " as xg_contribution",
+        _r("avg(case when type_id in (7, 8, 12, 45, 49) then x end)", places) + " as defensive_zone_x", _r("count_if(type_id = 44 and outcome_id = 1) / nullif(count_if(type_id = 44), 0)", places) + " as aerial_win_rate",
     ]
     for s, c in _STATES.items():
         for late, name in (("not late", s), ("late", f"{s}_late")):
             at = f"({c}) and {late}"
             for n, p in (("actions", "true"), ("progressive_passes", _ACTIONS["n_progressive_passes"]), ("defensive_actions", "type_id in (7, 8, 12, 45, 49)"), ("shots", "is_shot")):
                 cols.append(f"count_if({at} and {p})::bigint as n_{n}_{name}")
-            cols += cells(f"{at} and is_touch", f"{name}_")
-    body = f"""select s.*, coalesce(n_assists, 0)::bigint as n_assists, coalesce(n_chances_created, 0) as n_chances_created from (select match_id, team_id::integer as team_id, player_id::integer as player_id, match_date as date, season, league_source, '2021-01-01T00:00:00' as scraped_at, {', '.join(cols)}
+            cols += cells(f"{at} and is_touch", f"{name}_", places)
+    return f"""select s.*, coalesce(n_assists, 0)::bigint as n_assists, coalesce(n_chances_created, 0) as n_chances_created from (select match_id, team_id::integer as team_id, player_id::integer as player_id, match_date as date, season, league_source, '2021-01-01T00:00:00' as scraped_at, {', '.join(cols)}
         from (select *, team_score as a, opp_score as b, expanded_minute >= 75 as late from en) group by match_id, team_id, player_id, match_date, season, league_source) s
         left join (select match_id, team_id, related_player_id::integer as player_id, count_if(type_id = 16 and outcome_id = 1) as n_assists, count(*) as n_chances_created from ev where related_player_id is not null and is_shot group by 1, 2, 3) using (match_id, team_id, player_id)"""
-    return on("en", body)
+
+
+def player_match_stats() -> str:
+    return on("en", _player_stats(5))
+
+
+def features_players() -> str:
+    centre = lambda axis: " + ".join(f"coalesce(pct_z{i + 1}_c{j + 1}, 0) * {20 * (j if axis else i) + 10}" for i in range(5) for j in range(5))
+    names = {
+        "xg_chain": "coalesce(xg_chain, 0)", "xg_contribution": "xg_contribution", "progressive_passes": "n_progressive_passes", "key_passes": "n_key_passes", "shots": "n_shots", "pass_share": "pass_share", "betweenness": "betweenness_proxy",
+        "creative_rate": "creative_rate", "aerial_win_rate": "aerial_win_rate", "tackle_win_rate": "n_tackles_won / nullif(n_tackles, 0)", "defensive_actions": "n_tackles_won + n_interceptions + n_clearances + n_ball_recoveries",
+        "clearances": "n_clearances", "zone_x": centre(0), "zone_y": centre(1), "touches": "n_touches",
+    }
+    cols = ", ".join(f"avg({e}) over w as avg_{n}_5" for n, e in names.items())
+    body = f"""with st as ({_player_stats(None)}), ch_ as (select match_id, chain_team_id as team_id, player_id, sum(xgchain) as xg_chain from xg group by 1, 2, 3)
+        select match_id, team_id, player_id, date, season, league_source, {cols}, count(*) over w as n_matchs_window from (select st.*, pass_share, betweenness_proxy, creative_rate, xg_chain from st
+        left join ce using (match_id, team_id, player_id) left join ch_ using (match_id, team_id, player_id)) window w as (partition by player_id, season order by date, match_id rows between 5 preceding and 1 preceding)"""
+    columns = "match_id string, team_id int, player_id int, date date, season string, league_source string, " + ", ".join(f"avg_{n}_5 double" for n in names) + ", n_matchs_window bigint"
+    return rounded("en ce xg", columns, body, 6)
+
+
+def features_whoscored() -> str:
+    names, style = _team_style()
+    squad = "squad_avg_form_5 squad_xg_quality_5 squad_regularity squad_top3_share".split()
+    body = f"""with st as ({_player_stats(None)}), ws as (select s.*, date, season, league_source from ({style}) s join bb using (match_id, team_id)), sq as (
+        select match_id, team_id, date, season, league_source, avg(case when n >= 1 then a end) as squad_avg_form_5, avg(case when n >= 1 then x_ end) as squad_xg_quality_5, count_if(r > 0) / count(*) as squad_regularity,
+        sum(case when k <= 3 then n_actions end) / nullif(sum(n_actions), 0) as squad_top3_share from (select *, avg(n_actions) over p as a, avg(xg_contribution) over p as x_, count(*) over p as n, count(*) over r_ as r,
+        row_number() over (partition by match_id, team_id order by n_actions desc, player_id) as k from st window p as (partition by player_id, league_source order by date range between interval 180 days preceding and interval 1 day preceding),
+        r_ as (partition by player_id, team_id, league_source order by date range between interval 14 days preceding and interval 1 day preceding)) group by 1, 2, 3, 4, 5)
+        select bb.match_id, bb.team_id, bb.date, bb.season, bb.league_source, {', '.join(f'ws.ws_{n}' for n in names)}, {', '.join(f'sq.{n}' for n in squad)}, case when ws.ws_field_tilt_actions is not null then 1 else 0 end as has_ws_events
+        from bb asof left join ws on bb.team_id = ws.team_id and bb.league_source = ws.league_source and bb.season = ws.season and bb.date > ws.date
+        asof left join sq on bb.team_id = sq.team_id and bb.league_source = sq.league_source and bb.season = sq.season and bb.date > sq.date"""
+    columns = "match_id string, team_id int, date date, season string, league_source string, " + ", ".join(f"ws_{n} double" for n in names) + ", " + ", ".join(f"{n} double" for n in squad) + ", has_ws_events int"
+    return rounded("en bb", columns, body)
+
+
 
 
 def team_network() -> str:
@@ -151,9 +190,9 @@ def team_network() -> str:
         "ce pa",
         "match_id string, team_id int, season string, league_source string, n_players bigint, n_edges bigint, top_creator_share double, avg_betweenness double, network_entropy double, network_density double, "
         "centroid_x double, centroid_y double, centroid_x_progressive double, centroid_y_progressive double",
-        """select * from (select match_id, team_id, season, league_source, count(*) as n_players, sum(degree_out) as n_edges, round(max(pass_share), 4) as top_creator_share, round(avg(betweenness_proxy), 4) as avg_betweenness,
+        f"""select * from (select match_id, team_id, season, league_source, count(*) as n_players, sum(degree_out) as n_edges, round(max(pass_share), 4) as top_creator_share, round(avg(betweenness_proxy), 4) as avg_betweenness,
         round(-sum(pass_share * ln(nullif(pass_share, 0))) / nullif(ln(nullif(count(*), 1)), 0), 4) as network_entropy, round(sum(degree_out) / nullif(count(*) * (count(*) - 1), 0), 4) as network_density from ce group by 1, 2, 3, 4)
-        left join (select match_id, team_id, round(avg(x), 2) as centroid_x, round(avg(y), 2) as centroid_y, round(avg(case when is_progressive then x end), 2) as centroid_x_progressive, round(avg(case when is_progressive then y end), 2) as centroid_y_progressive
+        left join (select match_id, team_id, {', '.join(f"round((sum({c}::decimal(9, 4)) {w} / count(*) {w})::decimal(18, 6), 2) as centroid_{c}{n}" for n, w in (('', ''), ('_progressive', 'filter (is_progressive)')) for c in 'xy')}
         from pa group by 1, 2) using (match_id, team_id)""",
     )
 
@@ -256,7 +295,8 @@ def rolling_freekicks() -> str:
     return _rolling("fk", counts, f"n_total n_zone_direct n_zone_crossed n_freekicks {_COUNTED} n_direct sum_direct_distance sum_direct_angle", {f"freekicks_{s}": f"n_freekicks_{s}" for s in ("for", "against")}, ratios)
 
 
-def team_features() -> str:
+def _team_style() -> tuple[list[str], str]:
+    """The names of the style ratios, and the SQL of all of them."""
     six, box = "x > 94 and y between 36 and 64", "x > 83 and y between 21 and 79"
     lanes = {"left": "y < 33.3", "center": "y >= 33.3 and y <= 66.6", "right": "y > 66.6"}
     back = "type_id in (7, 8, 12)"
@@ -283,4 +323,9 @@ def team_features() -> str:
         c as (select match_id, team_id, count(distinct case when won > 0 then at_ end) / count(*) as counter_attack_dna from (select *, sum(case when type_id = 49 then 1 else 0 end) over (partition by match_id, team_id order by at_ range between 15 preceding and 1 preceding) as won
         from (select *, expanded_minute * 60 + second as at_ from ev)) where is_shot group by 1, 2)
         select match_id, team_id, {', '.join(f'{e} as ws_{a}' for a, e in out.items())} from b left join o using (match_id, team_id) left join m using (match_id, team_id) left join c using (match_id, team_id)"""
-    return rounded("ev", "match_id string, team_id int, " + ", ".join(f"ws_{a} double" for a in out), body)
+    return list(out), body
+
+
+def team_features() -> str:
+    names, body = _team_style()
+    return rounded("ev", "match_id string, team_id int, " + ", ".join(f"ws_{a} double" for a in names), body)

@@ -9,6 +9,8 @@ from gritstone.models import events as ev
 from gritstone.models import gold, network, setpieces, team
 from gritstone.plans import match_log, model_sql
 from gritstone.plans.registry import Tables, query
+from gritstone.sources import sinks
+from gritstone.sources.store import fresh_folder
 
 
 def _rounded(df: DataFrame, places: int = 5) -> DataFrame:
@@ -170,18 +172,23 @@ def model_features_rolling(t: Tables) -> DataFrame:
     return _rounded(r.select("match_id", "team_id", "days_since_last_match", *cols, "draw_rate_3"))
 
 
+def _written(t: Tables, df: DataFrame) -> DataFrame:
+    """A stage that several windows read, written once."""
+    return sinks.replace(df, fresh_folder(t.spark))
+
+
 @query("rolling_corners J35 W5", model_sql.rolling_corners())
 def model_rolling_corners(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     b = _event_backbone(s)
-    return _rounded(setpieces.rolling_corners(b, s["chains"], setpieces.corner_profiles(s["chains"], s["values"], s["quals"]).cache()))
+    return _rounded(setpieces.rolling_corners(b, s["chains"], _written(t, setpieces.corner_profiles(s["chains"], s["values"], s["quals"]))))
 
 
 @query("rolling_freekicks J35 W5", model_sql.rolling_freekicks())
 def model_rolling_freekicks(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     b = _event_backbone(s)
-    return _rounded(setpieces.rolling_freekicks(b, s["chains"], setpieces.freekick_profiles(s["chains"], s["values"], s["quals"]).cache()))
+    return _rounded(setpieces.rolling_freekicks(b, s["chains"], _written(t, setpieces.freekick_profiles(s["chains"], s["values"], s["quals"]))))
 
 
 def _event_backbone(s: dict[str, DataFrame]) -> DataFrame:
@@ -189,14 +196,14 @@ def _event_backbone(s: dict[str, DataFrame]) -> DataFrame:
     return s["index"].select("match_id", F.col("match_date").alias("date"), "season", "league_source", sides).select("match_id", F.col("s.t").alias("team_id"), F.col("s.o").alias("opponent_id"), "date", "season", "league_source")
 
 
-@query("features_players A1 W26 W30")
+@query("features_players A1 W26 W30", model_sql.features_players())
 def model_features_players(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     stats = team.player_match_stats(s["events"], s["quals"], s["index"])
-    return _rounded(gold.features_players(stats, network.centrality(network.pass_edges(s["passes"])), network.xg_chain(s["chains"], s["values"], s["quals"])))
+    return _rounded(gold.features_players(stats, network.centrality(network.pass_edges(s["passes"])), network.xg_chain(s["chains"], s["values"], s["quals"])), 6)
 
 
-@query("features_whoscored J15 W25 T8 T9 T21")
+@query("features_whoscored J15 W25 T8 T9 T21", model_sql.features_whoscored())
 def model_features_whoscored(t: Tables) -> DataFrame:
     s = match_log.stages(t)
     stats = team.player_match_stats(s["events"], s["quals"], s["index"])
@@ -204,10 +211,12 @@ def model_features_whoscored(t: Tables) -> DataFrame:
 
 
 def _draw(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Backbone, form, style with squads, and draw signals, all of the event log's matches."""
     s = match_log.stages(t)
-    b = match_log.backbone(t)
+    b = match_log.event_backbone(t)
     rolling = gold.features_rolling(b)
-    style = team.team_features(s["events"], s["quals"]).withColumn("team_id", F.col("team_id").cast("long"))
+    stats = team.player_match_stats(s["events"], s["quals"], s["index"])
+    style = gold.features_whoscored(b, team.team_features(s["events"], s["quals"]), stats, s["index"])
     behaviour = gold.draw_behaviour(s["events"], s["quals"], s["index"])
     return b, rolling, style, gold.features_draw(b, rolling, style, behaviour)
 
@@ -220,6 +229,5 @@ def model_features_draw(t: Tables) -> DataFrame:
 @query("features_final P36 P37 J5 T10")
 def model_features_final(t: Tables) -> DataFrame:
     b, rolling, style, draw = _draw(t)
-    squad = [F.lit(None).cast("double").alias(c) for c in ("squad_avg_form_5", "squad_xg_quality_5", "squad_regularity", "squad_top3_share")]
-    final = gold.features_final(rolling, style.select("*", *squad), draw, team.h2h_history(b), b)
-    return _rounded(final.select("match_id", "team_id", *(c for c in final.columns if "diff" in c or c.startswith(("h2h_", "rating_", "upset", "draw_aff", "form_")))))
+    final = gold.features_final(rolling, style, draw, team.h2h_history(b), b)
+    return _rounded(final.select("match_id", "team_id", *(c for c in final.columns if "diff" in c or c.startswith(("h2h_", "rating_", "upset", "draw_aff", "form_", "squad_", "f1_", "f20_")))))
