@@ -234,36 +234,41 @@ def identify(df: DataFrame, models: Models | None, passing: list[str], text: str
     """The columns ``passing`` with the language and its score, the chance of it by equal priors, named by ``out``."""
     spark = df.sparkSession
     ship(spark)
-    letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    # Columns go by number, so that no name of the input can clash.
+    # Columns go by number, so that no name of the input can clash. The text is there once, and leaves with the last part's result
+    # only if it passes.
     columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(passing)]
-    start = [F.lit("und").alias("lang"), F.lit(float("inf")).alias("least"), F.lit(0.0).alias("chances")]
-    rows = df.select(*columns, F.when(letters, F.col(text)).alias("letters"), *start)
-    n = len(passing)
+    own_text = [] if text in passing else [F.col(text).alias("own")]
+    start = [F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letters"), F.lit("und").alias("lang"), F.lit(float("inf")).alias("least"), F.lit(0.0).alias("chances")]
+    rows = df.select(*columns, *start, *own_text)
+    n, at = len(passing), passing.index(text) if text in passing else len(passing) + 4
+
+    def step(shared, last: bool) -> DataFrame:
+        out = rows.columns[: n + 4] if last else rows.columns
 
-    def step(shared) -> DataFrame:
         def better(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = shared.value
-            for batch in batches:
-                texts = batch.column(n)
-                which = np.flatnonzero(texts.is_valid().to_numpy(zero_copy_only=False))
-                langs = batch.column(n + 1).to_pylist()
-                least, chances = (batch.column(n + k).to_numpy(zero_copy_only=False).copy() for k in (2, 3))
-                found, bits, sums = model.predict([texts[int(i)].as_py() for i in which])
-                for i, g, b, s in zip(which, found, bits, sums):
-                    if b < least[i] or b == least[i] and g < langs[i]:
-                        chances[i] = s + chances[i] * np.exp2(b - least[i]) if chances[i] else s
-                        langs[i], least[i] = g, b
-                    else:
-                        chances[i] += s * np.exp2(least[i] - b)
-                yield pa.RecordBatch.from_arrays([*batch.columns[: n + 1], pa.array(langs, pa.string()), pa.array(least), pa.array(chances)], names=batch.schema.names)
-
-        return rows.mapInArrow(better, rows.schema)
-
-    for part in range(models.parts if models else 0):
-        model = models.load(part)  # type: ignore[union-attr]
+            for whole in batches:
+                for first in range(0, whole.num_rows, 512):  # few texts at once are Python strings
+                    batch = whole.slice(first, 512)
+                    which = np.flatnonzero(batch.column(n).to_numpy(zero_copy_only=False))
+                    langs = batch.column(n + 1).to_pylist()
+                    least, chances = (batch.column(n + k).to_numpy(zero_copy_only=False).copy() for k in (2, 3))
+                    found, bits, sums = model.predict([batch.column(at)[int(i)].as_py() for i in which])
+                    for i, g, b, s in zip(which, found, bits, sums):
+                        if b < least[i] or b == least[i] and g < langs[i]:
+                            chances[i] = s + chances[i] * np.exp2(b - least[i]) if chances[i] else s
+                            langs[i], least[i] = g, b
+                        else:
+                            chances[i] += s * np.exp2(least[i] - b)
+                    columns = [*batch.columns[: n + 1], pa.array(langs, pa.string()), pa.array(least), pa.array(chances), *([] if last else batch.columns[n + 4 :])]
+                    yield pa.RecordBatch.from_arrays(columns, names=out)
+
+        return rows.mapInArrow(better, rows.select(*out).schema)
+
+    loaded = (models.load(part) for part in range(models.parts)) if models else iter(())
+    for part, model in enumerate(loaded):
         if model is not None:
-            rows = step(spark.sparkContext.broadcast(model))
+            rows = step(spark.sparkContext.broadcast(model), part + 1 == models.parts)  # type: ignore[union-attr]
             if part + 1 < models.parts:  # type: ignore[union-attr]
                 rows = keep(rows)
     score = F.when(F.col("chances") > 0, 1 / F.col("chances")).otherwise(0.0)
