@@ -33,14 +33,15 @@ def inner_join(t: Tables) -> DataFrame:
 
 @query(
     "J4 P44",
-    """select c_custkey, s_suppkey, n_name, case when c_acctbal > s_acctbal then 'customer' else 'supplier' end as richer from nation join customer on c_nationkey = n_nationkey
-    join supplier on s_nationkey = n_nationkey and ((n_regionkey < 2 and c_acctbal > s_acctbal) or (n_regionkey >= 2 and c_acctbal <= s_acctbal))""",
+    """select o_orderkey, l_linenumber, case when l_quantity > 25 then 'large' else 'small' end as role from orders
+    join lineitem on l_orderkey = o_orderkey and ((o_orderstatus = 'F' and l_quantity > 25) or (o_orderstatus = 'O' and l_quantity <= 25) or o_orderstatus = 'P')""",
 )
 def role_or_join(t: Tables) -> DataFrame:
-    c = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
-    low, more = F.col("n_regionkey") < 2, F.col("c_acctbal") > F.col("s_acctbal")
-    out = c.join(t.supplier, (F.col("s_nationkey") == F.col("n_nationkey")) & ((low & more) | (~low & ~more)))
-    return out.select("c_custkey", "s_suppkey", "n_name", F.when(more, "customer").otherwise("supplier").alias("richer"))
+    """An equi-join on a key of few rows; which of them fit depends on the other side's role."""
+    large, status = F.col("l_quantity") > 25, F.col("o_orderstatus")
+    role = ((status == "F") & large) | ((status == "O") & ~large) | (status == "P")
+    out = t.orders.join(t.lineitem, (F.col("o_orderkey") == F.col("l_orderkey")) & role)
+    return out.select("o_orderkey", "l_linenumber", F.when(large, "large").otherwise("small").alias("role"))
 
 
 @query(
