@@ -60,6 +60,26 @@ def test_dealt_hashes_of_alike_sketches_meet():
             assert len(np.intersect1d(shinglesets.dealt_hashes(a, hot), shinglesets.dealt_hashes(b, hot)))
 
 
+def test_finely_dealt_hashes_of_similar_sets_meet(spark):
+    """Sets of many sizes that have a passage in common: similar ones share a dealt hash, and the passage alone is not dealt by all."""
+    rng = random.Random(7)
+    passage = rng.sample(range(10**6), 150)
+    sets = []
+    for size in (1, 4, 9, 40, 190, 203, 204, 205, 206, 230, 255, 256, 257, 300, 319, 400):
+        for base in ([], passage[: size // 2]):
+            first = base + rng.sample(range(10**6, 10**9), size - len(base))
+            for changed in (0, size // 10, size // 9, size // 4):
+                sets.append(sorted(set(first[changed:] + rng.sample(range(10**9, 10**12), changed))))
+    rows = [(i, len(x), x[: shinglesets.FINE]) for i, x in enumerate(sets)]
+    fine = spark.createDataFrame(rows, "id long, size long, least array<long>")
+    dealt = {}
+    for x in shinglesets.finely_dealt(fine).collect():
+        dealt.setdefault(x["id"], set()).add(x["token"])
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if 10 * len(set(sets[i]) & set(sets[j])) >= 8 * len(set(sets[i]) | set(sets[j]))]
+    assert len(pairs) > 50
+    assert all(dealt[i] & dealt[j] for i, j in pairs)
+
+
 def test_pipeline_drops_copies_far_apart_in_bits(spark):
     """Ten of 500 words changed leave a similarity of about 0.82, and over 4 bits of a fingerprint between the two."""
     import corpus_pipeline
