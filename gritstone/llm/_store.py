@@ -7,13 +7,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of our own by application: Spark lets no running session change ``spark.checkpoint.dir``.
+_OWN: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; only where it is unset (tests) a folder of our own."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="gritstone-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        app = spark.sparkContext.applicationId
+        where = _OWN.get(app) or _OWN.setdefault(app, "file://" + tempfile.mkdtemp(prefix="gritstone-"))
     return where.rstrip("/")
 
 

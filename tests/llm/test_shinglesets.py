@@ -96,3 +96,18 @@ def test_pipeline_drops_copies_far_apart_in_bits(spark):
 def test_odd_and_empty(spark, odd, empty):
     assert shinglesets.one_of_each(odd).count() == 8
     assert shinglesets.one_of_each(empty).count() == 0
+
+
+def test_folder_where_the_session_names_none():
+    """Spark refuses to change the setting while it runs, so the folder is remembered instead."""
+    from types import SimpleNamespace
+
+    from gritstone.llm import _store
+
+    def no_set(*_):
+        raise AssertionError("the setting can't be changed")
+
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default, set=no_set), sparkContext=SimpleNamespace(applicationId="app-of-a-test"))
+    assert _store.shared_folder(session) == _store.shared_folder(session)
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: "hdfs://a/b/"))
+    assert _store.shared_folder(named) == "hdfs://a/b"
