@@ -246,3 +246,17 @@ def test_fuzzy_best_query_against_all_pairs(spark):
             want[noisy] = entry
     got = registry.queries()["fuzzy_best"](spark, folder)
     assert {r["noisy"]: r["p_name"] for r in got.collect()} == want
+
+
+def test_folder_where_the_session_names_none():
+    """Spark refuses to change the setting while it runs, so the folder is remembered instead."""
+    from types import SimpleNamespace
+
+    from gritstone.sources.store import fresh_folder
+
+    def no_set(*_):
+        raise AssertionError("the setting can't be changed")
+
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default, set=no_set), sparkContext=SimpleNamespace(applicationId="app-of-a-test"))
+    one, other = fresh_folder(session), fresh_folder(session)
+    assert one != other and one.rsplit("/", 1)[0] == other.rsplit("/", 1)[0]
