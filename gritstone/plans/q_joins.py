@@ -131,7 +131,9 @@ def band_minutes(t: Tables) -> DataFrame:
     and abs(epoch(a.ts)::bigint - epoch(b.ts)::bigint) <= 86400""",
 )
 def band_binned(t: Tables) -> DataFrame:
-    e = t.events.select("event_id", "user_id", "event_type", F.unix_seconds(F.col("ts").cast("timestamp")).alias("s"))
+    """Seconds are rounded as the SQL's cast to a whole number does, halves to even."""
+    s = F.rint(F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).cast("long")
+    e = t.events.select("event_id", "user_id", "event_type", s.alias("s"))
     a = e.where("event_type = 'purchase'").select("event_id", "user_id", "s")
     b = e.where("event_type = 'click'").select("user_id", F.col("event_id").alias("other"), F.col("s").alias("s2"))
     return j.binned_band(a, b, ["user_id"], "s", "s2", 86400).select("event_id", "other")

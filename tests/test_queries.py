@@ -49,6 +49,16 @@ def test_query(spark, duck, name):
     assert normal(rows, df.columns) == normal(rel.fetchall(), rel.columns)
 
 
+def test_band_binned_rounds_seconds(spark, tmp_path):
+    c = duckdb.connect()
+    at = [(0, "12:00:00.5"), (0, "12:00:01.5"), (0, "12:00:00.499999"), (1, "12:00:00.5"), (1, "12:00:01.5"), (1, "12:00:01.499999"), (1, "12:00:02.500001"), (-1, "11:59:59.6"), (-1, "12:00:00.4")]
+    values = [f"(timestamp '{day} {t}' + to_days({d}), '{kind}')" for day in ("2024-01-02", "1969-12-30") for d, t in at for kind in ("purchase", "click")]
+    c.sql(f"create table events as select row_number() over () as event_id, 7::bigint as user_id, event_type, ts from (values {', '.join(values)}) as v(ts, event_type)")
+    c.sql(f"copy events to '{tmp_path}/events.parquet'")
+    rows = [tuple(r) for r in registry.queries()["band_binned"](spark, str(tmp_path)).collect()]
+    assert sorted(rows) == sorted(c.sql(registry.oracle_sql()["band_binned"]).fetchall())
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
