@@ -33,7 +33,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays; groups link sets of five-word shingles of a Jaccard similarity of 0.8 or more."""
+    """One document of each group stays; groups link sets of five-word shingles of a Jaccard similarity of 0.8 or more.
+
+    Pairs come from the grid of fingerprints first; sketches of the sets find those that are too far apart in bits.
+    """
     return shinglesets.one_of_each(docs, words=5, least=0.8)
 
 

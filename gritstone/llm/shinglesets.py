@@ -5,8 +5,10 @@ Two sets of a similarity of 0.8 share ``ALIKE`` of these at least, but for a cha
 where as many as ``ALIKE - 1`` of either sketch are left out. Those left out are hot ones first, which the most sets have, then
 the largest; the rest are dealt out. Each pair that shares a dealt hash is a candidate, and is verified on the whole sets.
 
-The first pairs are cheap guesses: among the sets of a hash, each with its predecessor by size whose fingerprint is nearest. They
-connect most of what is similar. Then come all pairs that share a dealt hash, are not connected yet, and whose sketches allow the
+The first pairs are those of the fingerprints' segment-popcount grid (``simhash.links``): sets of one fingerprint, and of two within
+``GRID_BITS`` bits. Of sets of a similarity of 0.8 few are that near, so the steps from here on search the rest. They begin with cheap
+guesses: among the sets of a hash, each with its predecessor by size whose fingerprint is nearest. The grid and the guesses
+connect most of what is similar, once their pairs are verified. Then come all pairs that share a dealt hash, are not connected yet, and whose sketches allow the
 similarity: hashes of few sets give them one by one. The sets of other hashes (a passage that many texts have, say) are dealt anew
 by finer sketches of ``FINE`` hashes, the rarest first, which leave out up to four fifths of a set. Hashes that many sets still share
 then have sets that meet in blocks, first as sketches, to find out which have such a partner at all, then as whole sets, which are
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 
 from gritstone.llm._components import components
 from gritstone.llm._store import drop, keep
+from gritstone.llm.simhash import links as grid_links
 from gritstone.llm.simhash import majority, shingle_hashes
 from gritstone.session import ship
 
@@ -38,6 +41,8 @@ ALIKE = 10
 FINE, FINE_ALIKE = 256, 160
 #: Sets that a hash must have at least to be hot, and how many hashes can be hot: more sets are asked for then.
 HOT, MOST_HOT = 256, 1_000_000
+#: Bits within which the grid finds all fingerprints.
+GRID_BITS = 5
 #: Predecessors by size that a set is compared with for the first guesses, and bits that a guess may differ in.
 NEAR, BITS = 8, 20
 #: Hashes of so many sets at most give pairs one by one.
@@ -180,6 +185,16 @@ def _dealt(sets: DataFrame, hot: np.ndarray) -> DataFrame:
     return sets.select("id", "size", "fp", "least").mapInArrow(deal, "token long, id long, size long, fp long")
 
 
+def grid_pairs(sets: DataFrame, bits: int = GRID_BITS) -> DataFrame:
+    """Pairs (a, b) of ids by the fingerprints' grid: of one fingerprint each set with the first, and the firsts of fingerprints that it links."""
+    sets = sets.select("id", "fp")
+    firsts = keep(sets.groupBy("fp").agg(F.min("id").alias("first")))
+    same = sets.join(firsts, "fp").where("id <> first").select(*_pair("id", "first"))
+    near = grid_links(firsts.select("fp"), bits).toDF("x", "y")
+    near = near.join(firsts.toDF("x", "o"), "x").join(firsts.toDF("y", "p"), "y").select(*_pair("o", "p"))
+    return same.unionByName(near)
+
+
 def links(sets: DataFrame, texts_of, words: int, least: float = 0.8, block: int = BLOCK, hot_sets: int = HOT) -> DataFrame:
     """Edges (a, b) that connect just what similar pairs connect. ``sets``: a written table of distinct id, size, least and fp.
 
@@ -196,14 +211,15 @@ def links(sets: DataFrame, texts_of, words: int, least: float = 0.8, block: int
     shared = keep(_dealt(sets, hot).join(counts, "token"))
     drop(counts)
     fits = F.col("o.size") >= least * F.col("size") - 1e-9
-    # Guesses: each set with the predecessor of the nearest fingerprint.
+    # The grid's pairs, and guesses: each set with the predecessor of the nearest fingerprint.
     salt = F.pmod(F.xxhash64("id", "token"), F.ceil(F.col("n") / F.lit(block)))
     before = Window.partitionBy("token", "salt").orderBy("size", "id").rowsBetween(-NEAR, -1)
     near = shared.withColumn("salt", salt).withColumn("found", F.collect_list(F.struct("id", "size", "fp")).over(before)).select("id", "size", "fp", F.explode("found").alias("o"))
     bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("o.fp")))
     best = near.where(fits & (bits <= BITS)).groupBy("id").agg(F.min(F.struct(bits.alias("bits"), F.col("o.id").alias("o"))).alias("best"))
-    edges = _checked(best.select(*_pair("id", "best.o")), texts_of, words, least)
-    # What guesses have not connected.
+    guesses = best.select(*_pair("id", "best.o"))
+    edges = _checked(grid_pairs(sets).unionByName(guesses), texts_of, words, least)
+    # What these have not connected.
     roots = components(edges)
     rooted = keep(shared.join(roots, F.col("id") == F.col("node"), "left").select("token", "id", "size", "n", F.coalesce("root", "id").alias("root")))
     drop(shared)

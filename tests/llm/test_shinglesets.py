@@ -80,6 +80,21 @@ def test_finely_dealt_hashes_of_similar_sets_meet(spark):
     assert all(dealt[i] & dealt[j] for i, j in pairs)
 
 
+def test_grid_of_fingerprints_links_what_sketches_do_not(spark):
+    """Sketches that share nothing leave fingerprints within 5 bits, or equal ones, as the only way; the sets decide in the end."""
+    words = [f"w{i}" for i in range(300)]
+    near = " ".join([*words[:-1], "x"])
+    far = " ".join(f"y{i}" for i in range(300))
+    texts = [" ".join(words), near, far, " ".join(words[:150]), " ".join(words[:149]), " ".join(words[150:])]
+    fps = [5, 5 ^ (31 << 40), 5 ^ (1 << 63), 1 << 20, 1 << 20, (1 << 20) ^ (63 << 30)]
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    sizes = [len(shinglesets.shingle_set(t, 5)) for t in texts]
+    sets = spark.createDataFrame([(i, n, [1000 * i + k for k in range(shinglesets.SKETCH)], fp) for i, (n, fp) in enumerate(zip(sizes, signed))], "id long, size long, least array<long>, fp long")
+    of = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = shinglesets.links(sets, lambda ids: of.join(ids, "id"), 5).distinct().collect()
+    assert sorted((r["a"], r["b"]) for r in found) == [(0, 1), (3, 4)]
+
+
 def test_pipeline_drops_copies_far_apart_in_bits(spark):
     """Ten of 500 words changed leave a similarity of about 0.82, and over 4 bits of a fingerprint between the two."""
     import corpus_pipeline
