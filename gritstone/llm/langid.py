@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gritstone.llm._memory import frugal
 from gritstone.llm._store import keep
 from gritstone.session import ship
 
@@ -225,7 +226,7 @@ def train(df: DataFrame, per_language: int = 500, languages: int = 256, seed: in
                 grams, n = gram_counts(own)
                 yield pa.RecordBatch.from_arrays([pa.array([g] * len(grams), pa.string()), pa.array(grams), pa.array(n)], names=["lang", "gram", "n"])
 
-    counted = texts.select("lang", "text").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = texts.select("lang", "text").mapInArrow(frugal(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     table = keep(counted.withColumn("part", F.pmod(F.xxhash64("lang"), F.lit(parts)).cast("int")))
     return None if table.isEmpty() else Models(table, parts)
 
@@ -263,7 +264,7 @@ def identify(df: DataFrame, models: Models | None, passing: list[str], text: str
                     columns = [*batch.columns[: n + 1], pa.array(langs, pa.string()), pa.array(least), pa.array(chances), *([] if last else batch.columns[n + 4 :])]
                     yield pa.RecordBatch.from_arrays(columns, names=out)
 
-        return rows.mapInArrow(better, rows.select(*out).schema)
+        return rows.mapInArrow(frugal(better), rows.select(*out).schema)
 
     loaded = (models.load(part) for part in range(models.parts)) if models else iter(())
     for part, model in enumerate(loaded):

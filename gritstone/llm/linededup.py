@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gritstone.llm._memory import frugal
 from gritstone.llm._store import drop, keep
 from gritstone.session import ship
 
@@ -90,7 +91,7 @@ def outlines(df: DataFrame, hashed: Callable[[bytes], int] = content_hash) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), own], names=["doc_id", "thash", "chunks"])
 
     id_type = df.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(cut, f"doc_id {id_type}, thash long, chunks array<{_PLACE}>")
+    return rows.mapInArrow(frugal(cut), f"doc_id {id_type}, thash long, chunks array<{_PLACE}>")
 
 
 def repeats(df: DataFrame, hashed: Callable[[bytes], int] = content_hash) -> DataFrame:
@@ -116,7 +117,7 @@ def _shared(rows: DataFrame) -> DataFrame:
             hashes, contents = zip(*sorted(found)) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(contents, pa.binary())], names=["h", "content"])
 
-    contents = rows.where("places is not null").select("text", "places").mapInArrow(spread, "h long, content binary")
+    contents = rows.where("places is not null").select("text", "places").mapInArrow(frugal(spread), "h long, content binary")
     return contents.groupBy("h").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a <> b").select("h")
 
 
@@ -174,4 +175,4 @@ def dedup_lines(df: DataFrame, least_words: int = 25, count: str = "removed_line
                 columns[chars_at] = pa.array(chars, columns[chars_at].type)
             yield pa.RecordBatch.from_arrays([*(columns[i] for i in left), pa.array(removed, pa.int64())], names=[*(cols[i] for i in left), count])
 
-    return rows.mapInArrow(cut, df.select(*(df[cols[i]] for i in left), F.lit(0).cast("long").alias(count)).schema)
+    return rows.mapInArrow(frugal(cut), df.select(*(df[cols[i]] for i in left), F.lit(0).cast("long").alias(count)).schema)

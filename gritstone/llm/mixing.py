@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gritstone.llm._memory import frugal
 from gritstone.llm._store import keep
 from gritstone.session import ship
 
@@ -208,4 +209,4 @@ def mixed_documents(df: DataFrame, **settings) -> DataFrame:
                 columns[chars_at] = pa.array([len(x) for own in lists for x in own], columns[chars_at].type)
             yield pa.RecordBatch.from_arrays(columns, names=cols)
 
-    return rows.mapInArrow(texts, df.schema)
+    return rows.mapInArrow(frugal(texts), df.schema)

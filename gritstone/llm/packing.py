@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gritstone.llm._memory import frugal
 from gritstone.llm._store import keep
 from gritstone.session import ship
 
@@ -30,11 +31,15 @@ from gritstone.session import ship
 SPECIAL = "<|endoftext|>"
 
 
+#: Parts that a worker's encoder knows between tasks.
+RESTING = 100_000
+
+
 class Encoder:
     """Ids as little-endian 32-bit bytes, the same ids as the ``tokenizers`` library gives for the file ``<name>.json``.
 
     A space between two characters that aren't white space always begins a new pre-token, so texts are cut there and the ids of each
-    part are kept in a bounded table. Texts with special strings go through the library itself.
+    part are kept in a bounded table; a large one does not outlive its task. Texts with special strings go through the library itself.
     """
 
     def __init__(self, name: str = "byte_bpe_50k", most: int = 1_000_000):
@@ -75,6 +80,11 @@ class Encoder:
             first = False
         return b"".join(out)
 
+    def rest(self) -> None:
+        """Between tasks a large table of parts goes: the worker lives on, and other stages run beside it."""
+        if len(self.known) > RESTING:
+            self.known = {}
+
 
 _ENCODER: list[Encoder] = []
 
@@ -109,9 +119,11 @@ def pieces(df: DataFrame, size: int = 1024, end: int = 2, make: Callable[[], Cal
                     at, k = upto, k + 1
             columns = [batch.column(0).take(pa.array(which, pa.int64())), *(pa.array(x, t) for x, t in zip((piece, start, length, crc), (pa.int32(), pa.int64(), pa.int64(), pa.int64())))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        if isinstance(encode, Encoder):
+            encode.rest()
 
     schema = rows.select("doc_id", *(F.lit(0).cast(t).alias(c) for c, t in (("piece", "int"), ("start", "long"), ("length", "long"), ("ids_crc32", "long")))).schema
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(frugal(cut), schema)
 
 
 def best_two_fit(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:

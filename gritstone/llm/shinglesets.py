@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gritstone.llm._components import components
+from gritstone.llm._memory import frugal
 from gritstone.llm._store import drop, keep
 from gritstone.llm.simhash import links as grid_links
 from gritstone.llm.simhash import majority, shingle_hashes
@@ -80,7 +81,7 @@ def with_sets(df: DataFrame, words: int, text: str = "text") -> DataFrame:
             more = [pa.array(np.array(own, np.uint64).view(np.int64)), pa.array(size, pa.int64()), pa.array(least, pa.list_(pa.int64())), pa.array(np.array(prints, np.uint64).view(np.int64))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *more], names=[*others, "id", "size", "least", "fp"])
 
-    return df.select(*others, text).mapInArrow(score, schema)
+    return df.select(*others, text).mapInArrow(frugal(score), schema)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
@@ -103,7 +104,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> Da
             good = [similar(of(i, x), of(j, y), least) for i, j, x, y in zip(*batch.columns)]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    return rows.mapInArrow(check, "a long, b long")
+    return rows.mapInArrow(frugal(check), "a long, b long")
 
 
 def dealt_hashes(sketch: np.ndarray, hot: np.ndarray) -> np.ndarray:
@@ -182,7 +183,7 @@ def _dealt(sets: DataFrame, hot: np.ndarray) -> DataFrame:
             tokens = pa.array(np.concatenate(own) if own else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([tokens, *(batch.column(i).take(which) for i in range(3))], names=["token", "id", "size", "fp"])
 
-    return sets.select("id", "size", "fp", "least").mapInArrow(deal, "token long, id long, size long, fp long")
+    return sets.select("id", "size", "fp", "least").mapInArrow(frugal(deal), "token long, id long, size long, fp long")
 
 
 def grid_pairs(sets: DataFrame, bits: int = GRID_BITS) -> DataFrame:
@@ -273,7 +274,7 @@ def _finer(ids: DataFrame, texts_of, words: int, least: float, block: int) -> Da
             arrays = [pa.array([len(x) for x in sets], pa.int64()), pa.array([x[:FINE].view(np.int64) for x in sets], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["id", "size", "least"])
 
-    fine = keep(texts_of(ids.select("id")).select("id", "text").mapInArrow(sketch, "id long, size long, least array<long>"))
+    fine = keep(texts_of(ids.select("id")).select("id", "text").mapInArrow(frugal(sketch), "id long, size long, least array<long>"))
     dealt = keep(finely_dealt(fine).join(ids, "id"))
     rows = _apart(dealt)
     drop(dealt)
@@ -305,7 +306,7 @@ def _in_blocks(rows: DataFrame, sketches: DataFrame, texts_of, words: int, least
                 hashes = [shingle_set(t.as_py(), words).view(np.int64) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hashes, pa.list_(pa.int64()))], names=["id", "hashes"])
 
-    sets = keep(texts_of(ids).select("id", "text").mapInArrow(whole, "id long, hashes array<long>"))
+    sets = keep(texts_of(ids).select("id", "text").mapInArrow(frugal(whole), "id long, hashes array<long>"))
     found = members.join(sets, "id").groupBy("token", "i", "j").applyInPandas(lambda pdf: _forest(pdf, least), "a long, b long")
     out = keep(found.distinct())
     drop(members, sets)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gritstone.llm._components import components
+from gritstone.llm._memory import frugal
 from gritstone.llm._store import keep
 from gritstone.session import ship
 
@@ -75,7 +76,7 @@ def with_fingerprints(df: DataFrame, words: int = 4, text: str = "text", keep_co
             fps = np.fromiter((fingerprint(t.as_py(), words) for t in texts), np.uint64, len(texts)).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), pa.array(fps)], names=[*kept, out])
 
-    return rows.mapInArrow(score, schema)
+    return rows.mapInArrow(frugal(score), schema)
 
 
 def grid_points(fp: Column) -> Column:
@@ -179,7 +180,7 @@ def links(vertices: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFra
         if len(held_k):
             yield out(_groups(held_k, held_f, distance))
 
-    first = keep(dealt.mapInArrow(search, "point long, a long, b long"))
+    first = keep(dealt.mapInArrow(frugal(search), "point long, a long, b long"))
     edges = first.where("point is null").select("a", "b")
     sizes = first.where("point is not null").groupBy("point").count()
     if not sizes.isEmpty():

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +187,19 @@ def test_encoder_equals_the_library():
         assert enc(t) == enc.library(t), repr(t)
 
 
+def test_a_large_table_of_parts_does_not_outlive_its_task(spark):
+    """A worker lives on beside the next stages, and so did up to a million parts, over 100 MB."""
+    docs = spark.range(8).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 20000), x -> concat('w', id * 20000 + x))) as text").coalesce(1)
+    assert packing.pieces(docs).agg(F.sum("length")).first()[0] > 100_000
+
+    def known(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(e.known) for e in packing._ENCODER], pa.int64())], names=["n"])
+
+    left = spark.range(64).repartition(64).mapInArrow(known, "n long").toPandas()["n"]
+    assert len(left) and left.max() <= 100_000
+
+
 def plain_best_two_fit(counts, size):
     """Bins, one piece after another: fill greedily, then try every two unpacked pieces in place of the smallest."""
     left = sorted((n for n, c in counts.items() for _ in range(c)), reverse=True)
