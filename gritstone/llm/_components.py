@@ -26,7 +26,8 @@ def _towards_least(pairs: DataFrame, own: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) pairs of longs to (node, root): root is the smallest node that can be reached. Nodes without edges have no row."""
     now = keep(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
+        narrow=True,
     )
     mark = _mark(now)
     while mark[0]:
@@ -38,11 +39,11 @@ def components(edges: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        large = keep(large)
+        large = keep(large, narrow=True)
         small = large.join(_towards_least(large, own=False), "u").select(
             F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         )
-        after = keep(small.select("e.u", "e.v").where("u <> v").distinct())
+        after = keep(small.select("e.u", "e.v").where("u <> v").distinct(), narrow=True)
         new = _mark(after)
         drop(now, large)
         now, done, mark = after, new == mark, new

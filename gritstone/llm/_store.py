@@ -20,12 +20,17 @@ def shared_folder(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def keep(df: DataFrame) -> DataFrame:
+def keep(df: DataFrame, narrow: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it again.
 
-    The files survive the loss of executors, and what is read twice is computed once.
+    The files survive the loss of executors, and what is read twice is computed once. A ``narrow`` table (ids, hashes, pairs) goes to
+    an eighth of the shuffle partitions, two for each core at least: on a local disk Hadoop starts a process (chmod) for each file and
+    folder, and for that moment the executor's memory counts twice.
     """
     spark = df.sparkSession
+    if narrow:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.coalesce(max(2 * spark.sparkContext.defaultParallelism, -(-partitions // 8)))
     path = f"{shared_folder(spark)}/gritstone-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -189,7 +189,7 @@ def _dealt(sets: DataFrame, hot: np.ndarray) -> DataFrame:
 def grid_pairs(sets: DataFrame, bits: int = GRID_BITS) -> DataFrame:
     """Pairs (a, b) of ids by the fingerprints' grid: of one fingerprint each set with the first, and the firsts of fingerprints that it links."""
     sets = sets.select("id", "fp")
-    firsts = keep(sets.groupBy("fp").agg(F.min("id").alias("first")))
+    firsts = keep(sets.groupBy("fp").agg(F.min("id").alias("first")), narrow=True)
     same = sets.join(firsts, "fp").where("id <> first").select(*_pair("id", "first"))
     near = grid_links(firsts.select("fp"), bits).toDF("x", "y")
     near = near.join(firsts.toDF("x", "o"), "x").join(firsts.toDF("y", "p"), "y").select(*_pair("o", "p"))
@@ -205,11 +205,11 @@ def links(sets: DataFrame, texts_of, words: int, least: float = 0.8, block: int
         raise ValueError("the numbers of smallest hashes serve similarities from 0.8 on")
     spark = sets.sparkSession
     ship(spark)
-    counts = keep(sets.select(F.explode("least").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
+    counts = keep(sets.select(F.explode("least").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), narrow=True)
     total = sets.select(F.sum(F.size("least")).alias("n")).first()["n"] or 0
     hot = counts.where(F.col("n") > max(hot_sets, total // MOST_HOT)).select("token").toPandas()["token"].to_numpy(np.int64)
     hot = np.sort(hot)
-    shared = keep(_dealt(sets, hot).join(counts, "token"))
+    shared = keep(_dealt(sets, hot).join(counts, "token"), narrow=True)
     drop(counts)
     fits = F.col("o.size") >= least * F.col("size") - 1e-9
     # The grid's pairs, and guesses: each set with the predecessor of the nearest fingerprint.
@@ -222,12 +222,12 @@ def links(sets: DataFrame, texts_of, words: int, least: float = 0.8, block: int
     edges = _checked(grid_pairs(sets).unionByName(guesses), texts_of, words, least)
     # What these have not connected.
     roots = components(edges)
-    rooted = keep(shared.join(roots, F.col("id") == F.col("node"), "left").select("token", "id", "size", "n", F.coalesce("root", "id").alias("root")))
+    rooted = keep(shared.join(roots, F.col("id") == F.col("node"), "left").select("token", "id", "size", "n", F.coalesce("root", "id").alias("root")), narrow=True)
     drop(shared)
     rest = _apart(rooted)
     drop(rooted)
     singly = _singly(rest.where(F.col("n") <= FEW), sets, SKETCH, ALIKE, texts_of, words, least)
-    many = keep(rest.where(F.col("n") > FEW).select("id", "root").distinct())
+    many = keep(rest.where(F.col("n") > FEW).select("id", "root").distinct(), narrow=True)
     drop(rest)
     finer = _finer(many, texts_of, words, least, block)
     drop(many)
@@ -236,7 +236,7 @@ def links(sets: DataFrame, texts_of, words: int, least: float = 0.8, block: int
 
 def _apart(rows: DataFrame) -> DataFrame:
     """The rows of the hashes whose sets are not all connected, written."""
-    return keep(rows.join(rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token"), "token"))
+    return keep(rows.join(rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token"), "token"), narrow=True)
 
 
 def _singly(few: DataFrame, sketches: DataFrame, length: int, alike: int, texts_of, words: int, least: float) -> DataFrame:
@@ -275,11 +275,11 @@ def _finer(ids: DataFrame, texts_of, words: int, least: float, block: int) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["id", "size", "least"])
 
     fine = keep(texts_of(ids.select("id")).select("id", "text").mapInArrow(frugal(sketch), "id long, size long, least array<long>"))
-    dealt = keep(finely_dealt(fine).join(ids, "id"))
+    dealt = keep(finely_dealt(fine).join(ids, "id"), narrow=True)
     rows = _apart(dealt)
     drop(dealt)
     numbers = rows.groupBy("token").agg(F.count("*").alias("n"))
-    rest = keep(rows.join(numbers, "token"))
+    rest = keep(rows.join(numbers, "token"), narrow=True)
     drop(rows)
     singly = _singly(rest.where(F.col("n") <= FEW), fine, FINE, FINE_ALIKE, texts_of, words, least)
     many = rest.where(F.col("n") > FEW)
@@ -308,13 +308,13 @@ def _in_blocks(rows: DataFrame, sketches: DataFrame, texts_of, words: int, least
 
     sets = keep(texts_of(ids).select("id", "text").mapInArrow(frugal(whole), "id long, hashes array<long>"))
     found = members.join(sets, "id").groupBy("token", "i", "j").applyInPandas(lambda pdf: _forest(pdf, least), "a long, b long")
-    out = keep(found.distinct())
+    out = keep(found.distinct(), narrow=True)
     drop(members, sets)
     return out
 
 
 def _checked(pairs: DataFrame, texts_of, words: int, least: float) -> DataFrame:
-    pairs = keep(pairs.distinct())
+    pairs = keep(pairs.distinct(), narrow=True)
     if pairs.isEmpty():
         return pairs
     texts = keep(texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
@@ -333,7 +333,7 @@ def one_of_each(df: DataFrame, words: int = 5, least: float = 0.8, block: int =
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("key"), (-F.coalesce(F.length("text"), F.lit(-1))).alias("size"), F.xxhash64(*cols).alias("h"))
     prints = keep(with_sets(df.select(order.alias("first"), "text"), words))
     firsts = keep(prints.groupBy("id").agg(F.min("first").alias("first"), F.min("size").alias("size"), F.min("least").alias("least"), F.min("fp").alias("fp")))
-    several = keep(prints.groupBy("first").count().where("count > 1").select("first"))
+    several = keep(prints.groupBy("first").count().where("count > 1").select("first"), narrow=True)
     repeated = not several.isEmpty()
     drop(prints)
     rows = df.select(order.alias("own"), "text")
@@ -345,7 +345,7 @@ def one_of_each(df: DataFrame, words: int = 5, least: float = 0.8, block: int =
 
     roots = components(links(firsts, texts_of, words, least, block, hot_sets))
     of = firsts.join(roots, F.col("id") == F.col("node"), "left").select("first", F.coalesce("root", "id").alias("root"))
-    stay = keep(of.groupBy("root").agg(F.min("first").alias("stays")).select("stays"))
+    stay = keep(of.groupBy("root").agg(F.min("first").alias("stays")).select("stays"), narrow=True)
     drop(firsts)
     # Columns go by number, so that no name of the input can clash.
     numbered = df.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(cols)), order.alias("own"))

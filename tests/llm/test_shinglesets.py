@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 
+from gritstone.llm import _components, _store
 from gritstone.llm import shinglesets
 
 
@@ -126,3 +127,18 @@ def test_folder_where_the_session_names_none():
     assert _store.shared_folder(session) == _store.shared_folder(session)
     named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: "hdfs://a/b/"))
     assert _store.shared_folder(named) == "hdfs://a/b"
+
+
+def test_narrow_tables_go_to_few_files(spark):
+    """A process starts for each file on a local disk, and 211 shuffle partitions made 211 files of few rows."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    try:
+        edges = _store.keep(spark.range(0, 2000, 1, 211).selectExpr("id div 2 * 2 as a", "id as b"))
+        roots = _store.keep(_components.components(edges), narrow=True)
+        most = max(2 * spark.sparkContext.defaultParallelism, 27)
+        assert 0 < len(roots.inputFiles()) <= most < 211
+        assert len(_components.components(edges).inputFiles()) <= most
+        assert roots.count() == 1000 and roots.where("node <> root + 1").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
